@@ -144,17 +144,24 @@ def cascade(texts: Texts, rules: tuple[Rule, ...], live: np.ndarray | None = Non
 
 
 def plan_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> tuple[Rule, ...]:
-    """The rules by falling rejection per cost, as measured on at most `sample_rows` rows."""
-    rows = ids_and_texts(docs, id_col, text_col).limit(sample_rows)
-
-    def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for _, _, buf, off in K.text_chunks(batch.column("text")):
-            for k, rule in enumerate(rules):
-                began = time.thread_time()
-                gone = int(rule.rejects(Texts(buf, off)).sum())
-                yield pa.RecordBatch.from_pydict({"rule": [k], "cost": [time.thread_time() - began], "rejected": [gone]})
-
-    found = map_batches(rows, measure, "rule long, cost double, rejected long").groupBy("rule").agg(F.sum("cost").alias("cost"), F.sum("rejected").alias("rejected")).collect()
+    """The rules by falling rejection per cost, as measured on at most `sample_rows` rows of the first partition that has any."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cost, gone, seen = [0.0] * len(rules), [0] * len(rules), 0
+        for batch in batches:
+            for lo, hi, buf, off in K.text_chunks(batch.column("text").slice(0, sample_rows - seen)):
+                for k, rule in enumerate(rules):
+                    began = time.thread_time()
+                    gone[k] += int(rule.rejects(Texts(buf, off)).sum())
+                    cost[k] += time.thread_time() - began
+                seen += hi - lo
+            if seen >= sample_rows:
+                break
+        if seen:
+            yield pa.RecordBatch.from_pydict({"rule": list(range(len(rules))), "cost": cost, "rejected": gone})
+
+    # take() runs one partition, and more only while those had no rows: the sample never scans the table
+    found = ids_and_texts(docs, id_col, text_col).mapInArrow(measure, "rule long, cost double, rejected long").take(len(rules))
     worth = {r["rule"]: r["rejected"] / max(r["cost"], 1e-9) for r in found}
     return tuple(rules[k] for k in sorted(range(len(rules)), key=lambda k: (-worth.get(k, 0.0), k)))
 

@@ -4,16 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import classifier, token_files
+from .bpe import encode_decode
+from .media import media_report
 from .quality_rules import quality_report
 from .spark_io import table
 
 
+def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = token_files.write_token_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_token_shards(shards)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start (in its stream), n_tokens of every document, counted in the flat streams."""
+    blocks, listed = token_files.write_flat(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
+    return token_files.count_tokens(blocks, 50256).join(listed, ["stream", "ordinal"]).select("doc_id", "stream", "ordinal", "start", "n_tokens")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits on the rows of labels whose fold is not 1 and scores every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = classifier.fit(docs, labels.where(classifier.fold(F.col("doc_id")) != 1))
+    return classifier.score(docs, model).select("doc_id", (classifier.fold(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_report(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
