@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from . import classifier, token_files
 from .bpe import encode_decode
 from .media import media_report
+from .ngram_join import link_components
 from .quality_rules import quality_report
 from .spark_io import table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(table(spark, sf_dir, "documents"))
+
+
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_files.write_token_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return token_files.read_token_shards(shards)
