@@ -14,6 +14,7 @@ from .media import media_report
 from .ngram_join import link_components
 from .quality_rules import quality_report
 from .spark_io import table
+from .substrings import remove_repeats
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_shards(shards)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start (in its stream), n_tokens of every document, counted in the flat streams."""
     blocks, listed = token_files.write_flat(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
