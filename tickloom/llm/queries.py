@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, token_files
+from . import classifier, license_scan, token_files
 from .bpe import encode_decode
 from .media import media_report
 from .ngram_join import link_components
+from .packing import best_fit
 from .quality_rules import quality_report
 from .spark_io import table
 from .substrings import remove_repeats
@@ -26,6 +27,10 @@ def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_shards(shards)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit(table(spark, sf_dir, "documents"))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_report(table(spark, sf_dir, "documents"))
 
@@ -60,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_license_scan": license_scan.oracle_sql()}
