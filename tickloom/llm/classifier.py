@@ -88,7 +88,7 @@ def discriminant(n: np.ndarray, total: np.ndarray, outer: np.ndarray, shrink: fl
     return Discriminant(float(np.log(n[1] / n[0])), (mean[0], mean[1]), (roots[0], roots[1]), (dets[0], dets[1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, shrink: float = 0.05, ridge: float = 1e-3) -> Discriminant:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, shrink: float = 0.2, ridge: float = 1e-3) -> Discriminant:
     """Fits on at most about `sample` labelled rows: those whose hashed id is below a bound set from the number of labels.
 
     Only ids and labels are joined first; texts reach the fit through a filter on that bound and a join with the sample.

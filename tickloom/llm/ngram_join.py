@@ -278,3 +278,14 @@ def link_nodes(rows: DataFrame, listed: DataFrame, size: int, least: int, extra:
     both = ask.select(columns).unionByName(given.select(columns)).repartition("cluster", "i", "j")
     more = stored(both.groupBy("cluster", "i", "j").applyInArrow(tree_task(least), "u long, v long"), "ngram-more")
     return roots if more.isEmpty() else stored(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)), "ngram-roots")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, without those that link, through others too, to a text with a lesser id.
+
+    Of rows with equal id and text one stays. Rows without an id go only if an equal row of them stays.
+    """
+    gone = stored(link_components(docs, id_col, text_col).where("doc_id <> component_id").select("doc_id").distinct(), "ngram-gone")
+    kept = docs.join(gone, docs[id_col].cast("long") == gone["doc_id"], "left_anti")
+    columns = kept.columns
+    return kept.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).select(*columns)

@@ -113,8 +113,8 @@ def symbol_share(t: Texts) -> np.ndarray:
 
 
 def repeated_lines(t: Texts) -> np.ndarray:
-    """More than 30 % of the lines repeat an earlier line."""
-    return 100 * t.line_counts[1] > 30 * t.line_counts[0]
+    """More than half of the lines repeat an earlier line."""
+    return 2 * t.line_counts[1] > t.line_counts[0]
 
 
 def word_length(t: Texts) -> np.ndarray:
