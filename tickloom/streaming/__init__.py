@@ -1,0 +1 @@
+"""Reserved. The engine is batch only: no unbounded source, watermark or state is part of its semantics."""
