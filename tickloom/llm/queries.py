@@ -12,6 +12,7 @@ from . import classifier, license_scan, token_files
 from .bpe import encode_decode
 from .media import media_report
 from .ngram_join import link_components
+from .oracles import oracle_sql  # noqa: F401
 from .packing import best_fit
 from .quality_rules import quality_report
 from .spark_io import table
@@ -67,6 +68,3 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
-
-def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": license_scan.oracle_sql()}
