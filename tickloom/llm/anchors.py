@@ -22,27 +22,24 @@ def anchors(buf: np.ndarray, off: np.ndarray, run: np.ndarray, width: int = WIDT
         raise ValueError("a text of 256 MB or more")
     n = len(buf) - width + 1
     none = np.zeros(0, np.int64)
-    if n <= 0:
+    if n <= 0 or len(off) < 2:
         return none, none, none
-    at = np.arange(len(buf) - gram + 1)
-    h = K.spans(run, at, at + gram)
-    h = (h & ~np.uint64((1 << PLACE) - 1)) | at.astype(np.uint64)
-    span = width - gram + 1
-    rows = -(-len(h) // span) + 1
-    x = np.full(rows * span, ~np.uint64(0))
-    x[: len(h)] = h
-    x = x.reshape(rows, span)
-    ahead = np.minimum.accumulate(x, axis=1).reshape(-1)
-    back = np.minimum.accumulate(x[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    least = (np.minimum(back[:n], ahead[span - 1 : span - 1 + n]) & np.uint64((1 << PLACE) - 1)).astype(np.int64)
-    start = np.arange(n)
-    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[:n]
-    inside = start + width <= off[doc + 1]
-    start, least, doc = start[inside], least[inside], doc[inside]
-    if not len(start):
-        return none, none, none
-    new = np.ones(len(start), bool)
-    new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+    m = len(buf) - gram + 1
+    h = (run[gram:] - run[:-gram]) * K.powers(len(buf))[1][:m]
+    h *= np.uint64(0x9E3779B97F4A7C15)  # the high bits, which decide, take in every byte
+    h &= ~np.uint64((1 << PLACE) - 1)
+    h |= np.arange(m, dtype=np.uint64)
+    span, have = width - gram + 1, 1
+    while have < span:  # least of `have` places, doubled until it spans a window
+        step = min(have, span - have)
+        h = np.minimum(h[: len(h) - step], h[step:])
+        have += step
+    least = (h & np.uint64((1 << PLACE) - 1)).astype(np.int64)
+    for e in off[1:].tolist():  # windows that reach into the next text
+        least[max(0, e - width + 1) : e] = -1
+    new = np.ones(n, bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
-    return least[first], start[first], start[last]
+    last = np.append(first[1:], n) - 1
+    inside = least[first] >= 0
+    return least[first][inside], first[inside], last[inside]

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 _rng = np.random.default_rng(20240611)
 #: One random odd multiplier and a random value for each byte: the polynomial fingerprint of a string.
@@ -65,7 +65,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE and its inverse to the powers 0 to n, modulo 2**64."""
     if len(_powers.get("up", ())) <= n:
-        size = max(n + 1, CHUNK + 4096)
+        size = n + 1 + n // 4
         for name, base in (("up", BASE), ("down", BASE_INV)):
             x = np.full(size, base, np.uint64)
             x[0] = 1

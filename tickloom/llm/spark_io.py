@@ -34,7 +34,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what `stored` wrote, once nothing reads it any more."""
+    for df in frames:
+        jvm, path = df.sparkSession._jvm, df._stored_at
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -42,6 +52,16 @@ def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+#: Rows in a batch for Python, where the session leaves it at Spark's 10,000: whole texts are long rows.
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow over one batch at a time; empty batches are skipped."""
 
@@ -49,7 +69,9 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
+                pa.default_memory_pool().release_unused()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -78,7 +100,7 @@ def key_bitmap(keys: DataFrame, bits: int) -> np.ndarray:
 
     out = np.zeros(max(SEGMENT, bits // 32), np.uint32)
     packed = words.repartition(F.floor(F.col("word") / F.lit(SEGMENT))).mapInArrow(gather, "s long, data binary")
-    for r in packed.toLocalIterator():
+    for r in packed.collect():
         out[r["s"] * SEGMENT : (r["s"] + 1) * SEGMENT] |= np.frombuffer(r["data"], np.uint32)
     return out
 

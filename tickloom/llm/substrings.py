@@ -35,9 +35,11 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .anchors import GRAM, WIDTH, anchors
-from .spark_io import has_key, key_bitmap, map_batches, stored
+from .spark_io import discard, has_key, key_bitmap, map_batches, stored
 
 BITS = 1 << 25
+#: Bytes of text ranked at once; a round holds some thirty numbers for each.
+RANKED = 1 << 20
 BLOCKS = (32, 8, 1)
 
 
@@ -125,7 +127,7 @@ def round_rows(texts: DataFrame, levels: list[Level]) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         nodes, again = batch.column("node").to_numpy(), set()
-        for lo, hi, buf, off in K.text_chunks(batch.column("text")):
+        for lo, hi, buf, off in K.text_chunks(batch.column("text"), RANKED):
             own = nodes[lo:hi]
             keep = np.array([x not in again and not again.add(x) for x in own.tolist()], bool)  # equal texts of a batch once
             if not keep.all():
@@ -143,9 +145,10 @@ def round_rows(texts: DataFrame, levels: list[Level]) -> DataFrame:
     return map_batches(texts, run, "core long, cover long, open boolean, node long, site long, first int, last int")
 
 
-def repeats(rows: DataFrame, rank: str, name: str) -> DataFrame:
-    """key, twice: whether more than one place has the rank."""
-    return stored(rows.groupBy(F.col(rank).alias("key")).agg((F.min("site") != F.max("site")).alias("twice")), name)
+def repeats(rows: DataFrame, rank: str, name: str, all_keys: bool = False) -> DataFrame:
+    """key, twice: whether more than one place has the rank; keys of one place only with `all_keys`."""
+    ranks = rows.groupBy(F.col(rank).alias("key")).agg((F.min("site") != F.max("site")).alias("twice"))
+    return stored(ranks if all_keys else ranks.where("twice"), name)
 
 
 def still_open(rows: DataFrame, once: np.ndarray, twice: np.ndarray) -> np.ndarray:
@@ -173,20 +176,23 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     levels = [Level(keys(repeats(round_rows(texts, []), "core", "ranks-grams"), True))]
     rows = stored(round_rows(texts, levels), "rows-whole")
-    covers = repeats(rows, "cover", "ranks-whole")
+    covers = repeats(rows, "cover", "ranks-whole", all_keys=True)
     found = [settled(rows, covers, "cover", "spans-whole")]
     once = keys(covers, False)
     levels.append(Level(levels[0].twice, once, still_open(rows, once, levels[0].twice)))
+    discard(rows, covers)
     for size in BLOCKS:
         rows = stored(round_rows(texts, levels), f"rows-{size}")
         cores = repeats(rows, "core", f"cores-{size}")
         if size == 1:
             found.append(settled(rows, cores, "core", "spans-1"))
         else:
-            covers = repeats(rows.where("cover <> 0"), "cover", f"covers-{size}")
+            covers = repeats(rows.where("cover <> 0"), "cover", f"covers-{size}", all_keys=True)
             found.append(settled(rows.where("cover <> 0"), covers, "cover", f"spans-{size}"))
             twice, once = keys(cores, True), keys(covers, False)
             levels.append(Level(twice, once, still_open(rows, once, twice)))
+            discard(covers)
+        discard(rows, cores)
     out = found[0]
     for df in found[1:]:
         out = out.unionByName(df)
@@ -269,7 +275,8 @@ def keep_unrepeated(docs: DataFrame, text_col: str = "text", chars_col: str | No
     copied = texts.groupBy("node", F.octet_length("text").alias("n")).agg(F.count("*").alias("c")).where(f"c > 1 and n >= {WIDTH}").select("node", F.lit(0).alias("first"), F.col("n").alias("end"))
     lists = stored(spans.unionByName(copied).groupBy("node").agg(F.collect_list(F.struct("first", "end")).alias("__spans")).withColumnRenamed("node", "__node"), "span-lists")
     joined = rows.join(lists, "__node", "left")
-    place = docs.columns.index(text_col)
+    names = list(docs.columns)
+    place = names.index(text_col)
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out = []
@@ -285,9 +292,9 @@ def keep_unrepeated(docs: DataFrame, text_col: str = "text", chars_col: str | No
             edge[first[first < end]] += 1
             edge[end[first < end]] -= 1
             out.append(raw[np.cumsum(edge)[:-1] == 0].tobytes().decode("utf-8", "replace"))
-        columns = [batch.column(c) for c in docs.columns]
+        columns = [batch.column(c) for c in names]
         columns[place] = pa.array(out, columns[place].type)
-        yield pa.RecordBatch.from_arrays(columns, docs.columns)
+        yield pa.RecordBatch.from_arrays(columns, names)
 
     done = map_batches(joined, cut, docs.schema)
     if chars_col in docs.columns:
