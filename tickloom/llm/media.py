@@ -117,8 +117,8 @@ READ = pa.schema([("media_sha256", pa.string()), ("payload_bytes", pa.int64()),
 READ_SQL = "media_sha256 string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, feature string"
 
 
-def bit_of(digest: bytes) -> int:
-    return int.from_bytes(digest[:7], "little") % BITMAP_BITS
+def bit_of(digest: bytes, size: int) -> int:
+    return int.from_bytes(digest[:7], "little") % size
 
 
 def write_manifest(rows: DataFrame) -> DataFrame:
@@ -135,13 +135,14 @@ def write_manifest(rows: DataFrame) -> DataFrame:
 
 def shared_bitmap(manifest: DataFrame) -> np.ndarray:
     """A bit for each digest that more than one place of the table has; at most BITMAP_BITS / 64 words reach the driver."""
+    size = BITMAP_BITS
     shared = manifest.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
 
     def bits(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at = np.array([bit_of(x) for x in batch.column("digest").to_pylist()], np.int64)
+        at = np.array([bit_of(x, size) for x in batch.column("digest").to_pylist()], np.int64)
         yield pa.RecordBatch.from_pydict({"word": at >> 5, "bit": np.int64(1) << (at & 31)})
 
-    words = np.zeros(BITMAP_BITS // 32, np.int64)
+    words = np.zeros(size // 32, np.int64)
     for r in map_batches(shared.select("digest"), bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         words[r["word"]] = r["bits"]
     return words
@@ -159,7 +160,7 @@ def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for _, _, payload, ends in media_of(batch.column("text")):
             parts = pieces(payload, ends)
             digests = [hashlib.sha256(p).digest() for p in parts]
-            at = [bit_of(d) for d in digests]
+            at = [bit_of(d, 32 * len(bitmap)) for d in digests]
             maybe = [bool(bitmap[x >> 5] >> np.uint32(x & 31) & np.uint32(1)) for x in at]
             key = hashlib.sha256(wav_header(len(payload)) + payload).digest()
             if not any(maybe):
