@@ -103,14 +103,24 @@ class Shard:
         return self.read(int(self.ends[k - 1]) if k else 0, int(self.ends[k]))
 
 
+#: Bytes of input, as Spark estimates them, in a range of doc ids, where the session's shuffle partitions would be larger.
+RANGE_BYTES = 128 << 20
+
+
+def ranges(df: DataFrame) -> int:
+    """How many ranges to deal rows to: the session's shuffle partitions, or more where they would be too large."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    known = size if size < 1 << 60 else 0  # Spark says the largest number where it does not know
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // RANGE_BYTES))
+
+
 def encode_sorted(docs: DataFrame, path: str, end_id: int, special: bool, close, id_col: str, text_col: str, schema: str) -> DataFrame:
     """Texts in doc id order through the encoder; `close(part, number, doc ids, counts, ids)` makes rows of what has gathered.
 
     One range shuffle of whole texts puts them in order; a task holds what is between two calls of `close`.
     """
     rows = ids_and_texts(docs, id_col, text_col)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    rows = rows.repartitionByRange(ranges(rows), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder, number = TaskContext.get().partitionId(), byte_encoder(path, special), 0
