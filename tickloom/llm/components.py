@@ -1,40 +1,68 @@
-"""Connected components of a graph whose edges are a DataFrame, by alternating large-star and small-star steps.
+"""Connected components of a graph whose edges are a DataFrame, by union-find on each partition and shuffles between.
 
-Each step is a minimum for each node (combined before the shuffle) and one join that Spark can split where a node has
-very many edges. Edges are rewritten to the shared folder after each step, so lineage stays short. The number of steps
-grows with the logarithm of the largest component's size.
+Edges lead from a node to a lesser one. A partition merges what its edges connect and sends one edge from each of its
+nodes to the least node it knows; edges are dealt by their upper end, of which a node has one for each partition at most,
+so that a node with very many neighbours does not gather them in one task. When no node has two lower ends, what
+is left is a forest; pointer jumping along it (a join that Spark can split) gives every node its root. Each round is
+written to the shared folder, so lineage stays short.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spark_io import stored
+from .spark_io import discard, stored
+
+SCHEMA = "u long, v long"
+
 
+def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One edge from each node of a partition, but the least ones, to the least node that its edges connect it with."""
+    parent: dict[int, int] = {}
 
-def star(both: DataFrame, large: bool) -> DataFrame:
-    """both: edges u-v in both directions. Large: larger neighbours go to the least of all; small: the rest."""
-    side = both if large else both.where("v < u")
-    least = stored(side.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-    moved = side.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else side.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return moved.where("u <> v").distinct()
+    def root(x: int) -> int:
+        top = x
+        while (up := parent.get(top, top)) != top:
+            top = up
+        while x != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                parent.setdefault(min(a, b), min(a, b))
+    nodes = [x for x in parent if parent[x] != x]
+    for k in range(0, len(nodes), 100_000):
+        part = nodes[k : k + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(part, np.int64)), pa.array(np.array([root(x) for x in part], np.int64))], ["u", "v"])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges (u long, v long), in any direction, loops allowed -> (node, root): root is the least node of the component.
+    """edges (u long, v long), in any direction, loops and repeats allowed -> (node, root): root is the least node of the component.
 
     Nodes without an edge to another node are not listed.
     """
-    now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-    mark = None
+    now = edges.select("u", "v").mapInArrow(merge, SCHEMA)
+    while True:
+        old, now = now, stored(now.repartition("u").mapInArrow(merge, SCHEMA), "edges")
+        if hasattr(old, "_stored_at"):
+            discard(old)
+        if now.groupBy("u").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a <> b").isEmpty():
+            break
+    now = stored(now.groupBy("u").agg(F.min("v").alias("v")), "forest")
     while True:
-        for large in (True, False):
-            both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            now = stored(star(both, large), "edges")
-        seen = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if (seen["n"], seen["x"]) == mark:
+        up = now.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        jumped = stored(now.join(up, "v", "left").select("u", F.coalesce("w", "v").alias("v"), F.col("w").isNotNull().alias("moved")), "forest")
+        now = jumped.select("u", "v")
+        if jumped.where("moved").isEmpty():
             break
-        mark = (seen["n"], seen["x"])
-    roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
+    roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -5,7 +5,7 @@ sequence is one shingle). Two texts link when 100 |A and B| >= 75 |A or B|. The
 text: one row per row of the table, never the pairs of a group.
 
 1. Texts with equal sets are one node. A linked node shares at least `need` of its first shingles (in the order of their
-   fingerprints) with one other node, so nodes with too few repeated ones are dropped; only a third of the shingles travels.
+   fingerprints) with one other node, so nodes with too few repeated ones are dropped; four in ten of the shingles travel.
 2. The sets of the nodes left are ordered by global frequency, rarest first; shingles of one node only are counted,
    not kept. A node with too few shared shingles is dropped.
 3. Nodes that share a prefix shingle fall into one candidate cluster (components of star edges, so no pairs are made).
@@ -31,15 +31,15 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .components import components
-from .spark_io import ids_and_texts, map_batches, stored
+from .spark_io import discard, has_key, ids_and_texts, key_bitmap, map_batches, stored
 
 #: Two sets link from this many hundredths on.
 LEAST = 75
 #: Share of a set that step 1 sends beyond the plain prefix, so that one common passage is not enough to stay.
-EXTRA = 0.05
+EXTRA = 0.15
 #: Nodes of a candidate cluster in one block, and bits of the map that tells the second scan which nodes are left.
 BLOCK = 96
-BITMAP_BITS = 1 << 22
+BITMAP_BITS = 1 << 23
 
 
 def least_overlap(n, least: int = LEAST):
@@ -91,25 +91,14 @@ def first_shingles(rows: DataFrame, size: int, least: int, extra: float) -> Data
     return map_batches(rows, run, "token long, node long, w int")
 
 
-def node_bitmap(nodes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """One bit for each node, by its low bits; at most bits / 32 rows reach the driver, whatever the input."""
-    at = F.pmod(F.col("node"), F.lit(bits))
-    words = nodes.select((at.bitwiseAND(F.lit(31))).cast("int").alias("k"), F.shiftright(at, 5).alias("word")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("b"))
-    out = np.zeros(bits // 32, np.uint32)
-    for r in words.toLocalIterator():
-        out[r["word"]] = r["b"]
-    return out
-
-
 def full_sets(rows: DataFrame, alive: DataFrame, size: int) -> DataFrame:
     """node, n, tokens of the nodes in alive (node, rep), each once."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(node_bitmap(alive))
+    bitmap = rows.sparkSession.sparkContext.broadcast(key_bitmap(alive.select(F.col("node").alias("key")), BITMAP_BITS))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc_id")
         for lo, _, n, at, h, node in sets_of(batch.column("text"), size):
-            bit = node.view(np.int64) % BITMAP_BITS
-            maybe = np.flatnonzero((bitmap.value[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1) == 1) & (n > 0))
+            maybe = np.flatnonzero(has_key(bitmap.value, node, BITMAP_BITS) & (n > 0))
             if len(maybe):
                 ends = np.concatenate([[0], np.cumsum(n[maybe])])
                 tokens = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(K.gather(h, at[maybe], n[maybe]).view(np.int64)))
@@ -250,11 +239,14 @@ def link_nodes(rows: DataFrame, listed: DataFrame, size: int, least: int, extra:
     nodes = listed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies"))
     need = F.lit(1) + F.floor(F.lit(extra) * least_overlap_column(F.col("n"), least))
     alive = stored(nodes.join(counts, "node").where(F.col("hits") >= F.col("copies") * need).select("node", "rep"), "ngram-alive")
-    ordered = frequency_order(full_sets(rows, alive, size), least)
+    sets = full_sets(rows, alive, size)
+    ordered = frequency_order(sets, least)
+    discard(sets, repeated)
     placed = stored(clusters(ordered, least), "ngram-clusters")
     sizes = stored(placed.groupBy("cluster").agg(F.count("*").alias("members")).withColumn("blocks", F.ceil(F.col("members") / F.lit(BLOCK))), "ngram-sizes")
     block = F.pmod(F.xxhash64("node", "cluster"), F.col("blocks"))
     members = stored(placed.join(sizes, "cluster").select("node", "cluster", "blocks", block.alias("block")).join(ordered, "node"), "ngram-members")
+    discard(ordered)
 
     zero, hub = F.array(F.lit(0).cast("long")), (F.col("blocks") > 1) & (F.col("block") == 0)
     dealt = members.withColumn("task", F.explode(F.when(hub, F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.col("block")))))
