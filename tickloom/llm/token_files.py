@@ -109,7 +109,7 @@ RANGE_BYTES = 128 << 20
 
 def ranges(df: DataFrame) -> int:
     """How many ranges to deal rows to: the session's shuffle partitions, or more where they would be too large."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     known = size if size < 1 << 60 else 0  # Spark says the largest number where it does not know
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // RANGE_BYTES))
 
