@@ -222,10 +222,15 @@ def cut_texts(rows: DataFrame, spans: DataFrame) -> DataFrame:
     lists = stored(spans.groupBy("node").agg(F.collect_list(F.struct("first", "end")).alias("all")), "span-lists")
     bitmap = rows.sparkSession.sparkContext.broadcast(key_bitmap(lists.select(F.col("node").alias("key")), BITS))
 
-    def named(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        got = batch.filter(pa.array(has_key(bitmap.value, batch.column("node").to_numpy(), BITS)))
-        if got.num_rows:
-            yield got
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts that may lose bytes, equal ones once for each partition."""
+        seen: set[int] = set()
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            once = np.array([x not in seen and not seen.add(x) for x in nodes.tolist()], bool)
+            got = batch.filter(pa.array(once & has_key(bitmap.value, nodes, BITS)))
+            if got.num_rows:
+                yield got
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {"node": [], "n_removed": [], "n_spans": [], "kept": [], "spans": []}
@@ -240,7 +245,7 @@ def cut_texts(rows: DataFrame, spans: DataFrame) -> DataFrame:
                 out[c].append(x)
         yield pa.RecordBatch.from_pydict(out, pa.schema([("node", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("spans", pa.list_(pa.int64()))]))
 
-    some = map_batches(rows.select("node", "text"), named, "node long, text string")
+    some = rows.select("node", "text").mapInArrow(named, "node long, text string")
     once = some.join(lists, "node").dropDuplicates(["node"])
     return map_batches(once, cut, "node long, n_removed long, n_spans long, kept binary, spans array<long>")
 
