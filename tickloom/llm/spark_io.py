@@ -29,11 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
     return here
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage is cut and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

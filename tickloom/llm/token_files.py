@@ -114,13 +114,14 @@ def ranges(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // RANGE_BYTES))
 
 
-def encode_sorted(docs: DataFrame, path: str, end_id: int, special: bool, close, id_col: str, text_col: str, schema: str) -> DataFrame:
-    """Texts in doc id order through the encoder; `close(part, number, doc ids, counts, ids)` makes rows of what has gathered.
+def encode_texts(docs: DataFrame, path: str, end_id: int, special: bool, close, id_col: str, text_col: str, schema: str, in_order: bool) -> DataFrame:
+    """Texts, in doc id order if so asked, through the encoder; `close(part, number, doc ids, counts, ids)` makes rows of what has gathered.
 
-    One range shuffle of whole texts puts them in order; a task holds what is between two calls of `close`.
+    One range shuffle of whole texts puts them in order, else there is no shuffle; a task holds what is between two calls of `close`.
     """
     rows = ids_and_texts(docs, id_col, text_col)
-    rows = rows.repartitionByRange(ranges(rows), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    if in_order:
+        rows = rows.repartitionByRange(ranges(rows), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder, number = TaskContext.get().partitionId(), byte_encoder(path, special), 0
@@ -158,7 +159,7 @@ def write_token_shards(docs: DataFrame, path: str, end_id: int = 0, id_col: str
         data = write_shard(doc_ids, counts, ids, bits)
         return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "shard": pa.array([number], pa.int64()), "n_tokens": [len(ids)], "n_bytes": [len(data)], "data": pa.array([data], pa.binary())})
 
-    return stored(encode_sorted(docs, path, end_id, True, close, id_col, text_col, "part long, shard long, n_tokens long, n_bytes long, data binary"), "token-shards")
+    return stored(encode_texts(docs, path, end_id, True, close, id_col, text_col, "part long, shard long, n_tokens long, n_bytes long, data binary", in_order=True), "token-shards")
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
@@ -209,7 +210,7 @@ def export(shards: DataFrame, folder: str) -> int:
 
 
 def write_flat(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = FLAT_BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Encodes texts into flat streams of 16-bit ids, one for each task, and lists which document is which in them.
+    """Encodes texts, in the order of the input, into flat streams of 16-bit ids, one for each task, and lists which document is which in them.
 
     Returns (blocks: stream, block, data) and (documents: stream, ordinal, doc_id), both stored. Strings of added tokens in
     a text are ordinary text here, so that an end id always ends a document.
@@ -219,7 +220,7 @@ def write_flat(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
     def close(part, number, doc_ids, counts, ids):
         return pa.RecordBatch.from_pydict({"stream": pa.array([part], pa.int64()), "block": pa.array([number], pa.int64()), "data": pa.array([ids.astype("<u2").tobytes()], pa.binary()), "base": pa.array([0], pa.int64()), "doc_ids": pa.array([[None if x == NULL_ID else x for x in doc_ids.tolist()]], pa.list_(pa.int64()))})
 
-    encoded = encode_sorted(docs, path, end_id, False, close, id_col, text_col, schema)
+    encoded = encode_texts(docs, path, end_id, False, close, id_col, text_col, schema, in_order=False)
 
     def even(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks of exactly block_bytes; only the last of a stream is shorter."""
@@ -237,7 +238,7 @@ def write_flat(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
         if held:
             yield pa.RecordBatch.from_pydict({"stream": [stream], "block": [number], "data": pa.array([held], pa.binary()), "base": [base], "doc_ids": pa.array([[]], pa.list_(pa.int64()))})
 
-    both = stored(encoded.mapInArrow(even, schema), "flat-tokens")
+    both = stored(encoded.mapInArrow(even, schema), "flat-tokens", compression="zstd")
     blocks = both.where("block >= 0").select("stream", "block", "data")
     listed = both.where("block < 0").select("stream", "base", F.posexplode("doc_ids").alias("k", "doc_id")).select("stream", (F.col("base") + F.col("k")).alias("ordinal"), "doc_id")
     return blocks, listed
