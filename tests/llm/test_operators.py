@@ -154,6 +154,46 @@ def test_license_scan(docs, spark):
     assert "Python" not in license_scan.license_scan(docs)._jdf.queryExecution().executedPlan().toString().replace("PythonRDD", "")
 
 
+def slow_license(text, least=0.8):
+    """Every window of the text against every template."""
+    grams = license_scan.words_of(text or "")
+    grams = [f"{a} {b}" for a, b in zip(grams, grams[1:])]  # noqa: B905
+    found = {}
+    for name, texts in license_scan.TEMPLATES.items():
+        for b in (set(license_scan.bigrams_of(t)) for t in texts):
+            for i in range(len(grams)):
+                seen, hits = set(), 0
+                for g in grams[i:]:
+                    hits += g in b and g not in seen
+                    seen.add(g)
+                    if 2 * hits / (len(seen) + len(b)) >= least:
+                        found[name] = max(found.get(name, 0), 2 * hits / (len(seen) + len(b)))
+    return (*min(((-d, n) for n, d in found.items()), default=(0.0, None))[::-1], len(found))
+
+
+def test_license_notices_in_longer_texts(spark):
+    """Notices of several paragraphs at the head of code, and short ones within longer lines."""
+    code = "\n\n".join(f"def f{k}(a, b{k}):\n    return a * {k} + b{k}" for k in range(60))
+    head = lambda t, *at: re.sub("|".join(map(re.escape, at)), lambda m: "\n\n" + m[0], t)
+    full = license_scan.TEMPLATES
+    notices = {
+        "MIT": "MIT License\n\nCopyright (c) 2020 X\n\n" + head(full["MIT"][2], "The above", "THE SOFTWARE IS"),
+        "Apache-2.0": "Copyright 2020 X\n\n" + head(full["Apache-2.0"][1], "You may obtain", "Unless required"),
+        "GPL-3.0": "X does Y.\n\n" + head(full["GPL-3.0"][1], "This program is distributed", "You should have"),
+    }
+    texts = [(k, notice + "\n\n" + code, name) for k, (name, notice) in enumerate(notices.items())]
+    texts += [(10, "Licensed under the MIT License. See LICENSE for details.", "MIT"), (11, "# Copyright 2020 X. Licensed under the MIT License. All rights reserved, see below.", "MIT")]
+    texts += [(12, code, None), (13, code[:900] + "\n\n" + notices["MIT"].replace("copies", "many good copies"), "MIT"), (14, None, None)]
+    scan = license_scan.license_scan(spark.createDataFrame(texts, "doc_id long, text string, want string"))
+    found = {r["doc_id"]: (r["license"], r["dice"], r["n_licenses"]) for r in scan.collect()}
+    assert {k: v[0] for k, v in found.items()} == {k: name for k, _, name in texts}
+    assert min(found[k][1] for k in range(3)) > 0.97
+    for k, text, _ in texts:
+        if k >= 10:
+            name, neg, n = slow_license(text)
+            assert found[k] == (name, round(-neg, 6), n)
+
+
 def test_key_words_hit_every_match():
     keys = license_scan.key_words(license_scan.TEMPLATES, 0.8)
     for texts in license_scan.TEMPLATES.values():

@@ -1,13 +1,18 @@
 """License scan: normalised text compared to license templates by the Dice coefficient over word bigrams.
 
-Everything is a Spark SQL expression of one row: no Python, no join and no shuffle. A unit is a line, a paragraph
-(parted by blank lines) or a whole text. It is lower-cased, `licence` read as `license`, and everything but a-z and 0-9
-becomes a single space; its set is its distinct word bigrams. A unit matches a template when
-2 |A and B| / (|A| + |B|) >= `least`, which bounds the size of A by that of B on both sides: only templates within the
-bounds are compared. Since a match shares most bigrams of a template, every match also contains one of a few key
-words (`key_words` finds a set that provably hits every match); texts and units without one are passed by.
-
-Defined results: null and empty texts, and units of one word, match nothing (license null, dice 0.0, n_licenses 0); ties
+Everything is a Spark SQL expression of one row: no Python, no join and no shuffle. A text is lower-cased, `licence` read as
+`license`, and everything but a-z and 0-9 becomes a single space. Every window (run of words, across lines and
+paragraphs) of the text is compared; its set is its distinct bigrams. A window matches a template when
+2 |A and B| / (|A| + |B|) >= `least`, and the best window of each template counts.
+
+The best window is found without trying all: a bigram of the template next to a window never lowers its coefficient when
+taken in, nor does another bigram at its edge when left out. So it begins where a run of bigrams of the template begins
+and ends where one ends. Windows of several runs have up to (2 - least) / least times the template's bigrams, repeated
+ones counted, and at least the bigrams in common that a match has. Templates of which the whole text has too few are passed by.
+Since a match shares most bigrams of a template, every match also contains one of a few key words (`key_words` finds a
+set that provably hits every match); texts without one are passed by.
+
+Defined results: null and empty texts, and texts of one word, match nothing (license null, dice 0.0, n_licenses 0); ties
 between templates go to the lesser name; every row of the table gives a row; other columns stay out.
 """
 
@@ -15,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,32 +111,62 @@ def has_any(text: Column, words: list[str]) -> Column:
     return found
 
 
+def strings(values: list[str]) -> Column:
+    """A constant array; one literal is sent in place of thousands."""
+    return F.split(F.lit("|".join(values)), "[|]")
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def template_literal(templates: dict[str, list[str]], least: float) -> Column:
     rows = []
     for name, texts in sorted(templates.items()):
         for text in texts:
             grams = bigrams_of(text)
-            low, high = size_bounds(len(grams), least)
-            rows.append(F.struct(F.lit(name).alias("name"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.array(*map(F.lit, grams)).alias("grams")))
+            low, span = size_bounds(len(grams), least)[0], size_bounds(len(words_of(text)) - 1, least)[1]
+            rows.append(F.struct(F.lit(name).alias("name"), F.lit(low).alias("low"), F.lit(span).alias("span"), strings(grams).alias("grams")))
     return F.array(*rows)
 
 
+def best_window(grams: Column, template: Column, own: Column) -> Column:
+    """The greatest Dice coefficient of a window of grams with a template; own: the template's bigrams that grams has."""
+
+    def of_hits(hits: Column) -> Column:
+        marks = F.transform(hits, lambda p, k: F.struct(p.alias("p"), k.alias("k")))
+        starts = F.filter(marks, lambda m: F.coalesce(F.get(hits, m["k"] - 1) < m["p"] - 1, F.lit(True)))
+        ends = F.filter(marks, lambda m: F.coalesce(F.get(hits, m["k"] + 1) > m["p"] + 1, F.lit(True)))
+        return let(ends, lambda ends: F.array_max(F.transform(starts, lambda s, i: from_start(s, F.slice(ends, i + 1, F.floor(template["span"] / 2).cast("int") + 1)))))
+
+    def from_start(s: Column, ends: Column) -> Column:
+        one_run = lambda e: e["k"] - s["k"] == e["p"] - s["p"]
+        some = F.filter(ends, lambda e: (e["k"] - s["k"] + 1 >= template["low"]) & ((e["p"] - s["p"] < template["span"]) | one_run(e)))
+        return F.array_max(F.transform(some, lambda e: let(F.array_distinct(F.slice(grams, s["p"], e["p"] - s["p"] + 1)), dice)))
+
+    def dice(a: Column) -> Column:
+        return F.size(F.array_intersect(a, own)) * F.lit(2.0) / (F.size(a) + F.size(template["grams"]))
+
+    return let(F.filter(F.transform(grams, lambda g, k: F.when(F.array_contains(own, g), k + 1)), lambda p: p.isNotNull()), of_hits)
+
+
 def findings(text: Column, templates: dict[str, list[str]], least: float) -> Column:
-    """An array of (neg, name), neg being minus the Dice coefficient, for each match of a unit with a template, the best first."""
+    """An array of (neg, name), neg being minus the Dice coefficient, for each template that a window of the text matches, the best first."""
     keys, known = key_words(templates, least), template_literal(templates, least)
-    fewest = min(size_bounds(len(bigrams_of(t)), least)[0] for texts in templates.values() for t in texts)
+    every = strings(sorted({g for texts in templates.values() for t in texts for g in bigrams_of(t)}))
     plain = F.replace(F.lower(text), F.lit("licence"), F.lit("license"))
-    units = F.filter(F.array_distinct(F.concat(F.split(plain, "\n"), F.split(plain, "\n[ \t\r]*\n"), F.array(plain))), lambda u: has_any(u, keys))
-    words = F.transform(units, lambda u: F.split(F.trim(F.regexp_replace(u, "[^a-z0-9]+", " ")), " "))
-    words = F.filter(words, lambda w: F.size(w) > fewest)
-    grams = F.transform(words, lambda w: F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))))
+    words = F.split(F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " ")), " ")
+    pairs = let(words, lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
 
-    def against(g: Column) -> Column:
-        near = F.filter(known, lambda t: (F.size(g) >= t["low"]) & (F.size(g) <= t["high"]))
-        each = F.transform(near, lambda t: F.struct((F.size(F.array_intersect(g, t["grams"])) * F.lit(-2.0) / (F.size(g) + F.size(t["grams"]))).alias("neg"), t["name"].alias("name")))
-        return F.filter(each, lambda m: m["neg"] <= F.lit(-least))
+    def against(grams: Column, shared: Column) -> Column:
+        near = F.filter(known, lambda t: F.size(shared) >= t["low"])
+        near = F.transform(near, lambda t: F.struct(t.alias("t"), F.array_intersect(shared, t["grams"]).alias("own")))
+        near = F.filter(near, lambda n: F.size(n["own"]) >= n["t"]["low"])
+        each = F.transform(near, lambda n: F.struct((-best_window(grams, n["t"], n["own"])).alias("neg"), n["t"]["name"].alias("name")))
+        return F.array_sort(F.filter(each, lambda m: m["neg"] <= F.lit(-least)))
 
-    found = F.array_sort(F.flatten(F.transform(grams, against)))
+    found = let(pairs, lambda grams: let(F.array_intersect(grams, every), lambda shared: against(grams, shared)))
     return F.when(has_any(plain, keys), found)
 
 
