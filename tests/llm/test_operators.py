@@ -194,6 +194,25 @@ def test_license_notices_in_longer_texts(spark):
             assert found[k] == (name, round(-neg, 6), n)
 
 
+def test_near_sibling_licenses_are_told_apart(spark):
+    """Full texts and notices that differ by a few words from those of another license."""
+    gnu = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {}General Public License for more details.\n\nYou should have received a copy of the GNU {}General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+    kinds = [("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3")]
+    cases = [(name, gnu.format(a, v, a, a)) for name, a, v in kinds]
+    cases += [(name, f"This work is licensed under a Creative Commons Attribution-{x} 4.0 International License.") for name, x in (("CC-BY-SA-4.0", "ShareAlike"), ("CC-BY-NC-SA-4.0", "NonCommercial-ShareAlike"), ("CC-BY-NC-ND-4.0", "NonCommercial-NoDerivatives"), ("CC-BY-ND-4.0", "NoDerivatives"))]
+    two = license_scan.TEMPLATES["BSD-2-Clause"][1]
+    third = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE"
+    cases += [("BSD-2-Clause", two), ("BSD-3-Clause", two.replace("THIS SOFTWARE", third, 1))]
+    texts = {name: license_scan.TEMPLATES[name][-1] for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "CC0-1.0", "BSL-1.0", "Unlicense", "Zlib")}
+    cases += [(name, "some code\n\n" + t + "\n\nmore code") for name, t in texts.items()]
+    cases += [(name, re.sub(r"\bcovered\b", "included", t) + "\n\nmore code") for name, t in texts.items()]
+    rows = [(k, t) for k, (_, t) in enumerate(cases)]
+    found = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[k]["license"] for k, _ in rows] == [name for name, _ in cases]
+    assert min(r["dice"] for r in found.values()) > 0.95
+    assert all(len(license_scan.bigrams_of(texts[x])) > 500 for x in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"))
+
+
 def test_key_words_hit_every_match():
     keys = license_scan.key_words(license_scan.TEMPLATES, 0.8)
     for texts in license_scan.TEMPLATES.values():

@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,29 +42,68 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under the ISC License.",
         'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
     ],
+    "0BSD": ['Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'],
+    "MIT-0": ['Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'],
     "BSD-2-Clause": [
         "Licensed under the BSD 2-Clause License.",
         'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
     ],
-    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."],
+    "BSD-3-Clause": [
+        "Licensed under the BSD 3-Clause License.",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    ],
+    "BSD-4-Clause": [
+        'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization. 4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
     ],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
+    "LGPL-2.1": ["Licensed under the GNU Lesser General Public License, version 2.1."],
+    "LGPL-2.0": ["Licensed under the GNU Library General Public License, version 2."],
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
     "MPL-2.0": ["Licensed under the Mozilla Public License, Version 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
     "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0."],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
     "CC0-1.0": ["Released under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
-    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ],
 }
 LEAST = 0.8
+#: From how many characters on a text is looked at for the key words of full texts.
+LONG = 2000
+
+
+def gnu_notices(adjective: str, version: str) -> list[str]:
+    """The notices by which works name a GNU license: of a version or later ones, or of one version only."""
+    out, name = [], f"GNU {adjective}General Public License"
+    warranty = f"{{noun}} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details."
+    for noun in ("program", "library") if adjective in ("Lesser ", "Library ") else ("program",):
+        for terms in (f"{name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.", f"{name} version {version} as published by the Free Software Foundation."):
+            granted = f"This {noun} is free software: you can redistribute it and/or modify it under the terms of the {terms}"
+            copy = f"You should have received a copy of the {name} along with this {noun}"
+            out += [f"{granted} This {warranty.format(noun=noun)} {copy}{end}" for end in (". If not, see https://www.gnu.org/licenses/.", "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")]
+            out.append(granted)
+    return out
+
+
+GNU = {"GPL-2.0": ("", "2"), "GPL-3.0": ("", "3"), "LGPL-2.0": ("Library ", "2"), "LGPL-2.1": ("Lesser ", "2.1"), "LGPL-3.0": ("Lesser ", "3"), "AGPL-3.0": ("Affero ", "3")}
+for _name, _kind in GNU.items():
+    TEMPLATES[_name] += [t for t in gnu_notices(*_kind) if t not in TEMPLATES[_name]]
+#: The full texts, of Creative Commons only CC0: one of that family alone would give its name to the others.
+for _path in sorted(Path(__file__).with_name("licenses").glob("*.txt")):
+    TEMPLATES[_path.stem] += [_path.read_text(encoding="utf-8")]
 
 
 def words_of(text: str) -> list[str]:
@@ -91,8 +132,8 @@ def key_words(templates: dict[str, list[str]], least: float) -> list[str]:
     while need:
         gain: dict[str, int] = {}
         for k in need:
-            for w in {w for g in left[k] for w in g.split()}:
-                gain[w] = gain.get(w, 0) + min(need[k], sum(w in g.split() for g in left[k]))
+            for w, n in Counter(w for g in left[k] for w in set(g.split())).items():
+                gain[w] = gain.get(w, 0) + min(need[k], n)
         word = max(gain, key=lambda w: (gain[w] * max(0.01, len(w) - 3) ** 2, w))  # common words are short
         out.append(word)
         for k in list(need):
@@ -111,6 +152,19 @@ def has_any(text: Column, words: list[str]) -> Column:
     return found
 
 
+def least_chars(text: str, least: float) -> int:
+    """Characters that a text has at least with a window that matches: those of the shortest second words of its bigrams."""
+    grams = bigrams_of(text)
+    return sum(sorted(len(g) - g.index(" ") for g in grams)[: size_bounds(len(grams), least)[0]])
+
+
+def may_match(plain: Column, templates: dict[str, list[str]], least: float) -> Column:
+    """Whether a text has a key word; those of long templates count only in texts that are long enough to match one."""
+    long = {name: [t for t in texts if least_chars(t, least) >= LONG] for name, texts in templates.items()}
+    short = {name: [t for t in texts if least_chars(t, least) < LONG] for name, texts in templates.items()}
+    return has_any(plain, key_words(short, least)) | ((F.length(plain) >= F.lit(LONG)) & has_any(plain, key_words(long, least)))
+
+
 def strings(values: list[str]) -> Column:
     """A constant array; one literal is sent in place of thousands."""
     return F.split(F.lit("|".join(values)), "[|]")
@@ -153,7 +207,7 @@ def best_window(grams: Column, template: Column, own: Column) -> Column:
 
 def findings(text: Column, templates: dict[str, list[str]], least: float) -> Column:
     """An array of (neg, name), neg being minus the Dice coefficient, for each template that a window of the text matches, the best first."""
-    keys, known = key_words(templates, least), template_literal(templates, least)
+    known = template_literal(templates, least)
     every = strings(sorted({g for texts in templates.values() for t in texts for g in bigrams_of(t)}))
     plain = F.replace(F.lower(text), F.lit("licence"), F.lit("license"))
     words = F.split(F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " ")), " ")
@@ -167,7 +221,7 @@ def findings(text: Column, templates: dict[str, list[str]], least: float) -> Col
         return F.array_sort(F.filter(each, lambda m: m["neg"] <= F.lit(-least)))
 
     found = let(pairs, lambda grams: let(F.array_intersect(grams, every), lambda shared: against(grams, shared)))
-    return F.when(has_any(plain, keys), found)
+    return F.when(may_match(plain, templates, least), found)
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, list[str]] | None = None, least: float = LEAST) -> DataFrame:
