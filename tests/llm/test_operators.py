@@ -62,6 +62,20 @@ def test_ngram_join_keeps_one_of_each_group(docs, rows):
     assert {r["doc_id"] for r in kept.collect() if r["doc_id"] is not None} == groups - {None}
 
 
+def test_keep_one_goes_by_rows(spark):
+    """A repeated id on different texts: the clean one stays; of near texts with the same least id one stays."""
+    from .conftest import prose
+
+    r = __import__("random").Random(4)
+    a, b, clean, c = (prose(r, 60) for _ in range(4))
+    texts = [(1, a), (5, a + " x"), (5, clean), (7, b), (7, b + " y"), (8, c), (None, c + " z"), (None, "no id here"), (9, ""), (9, ""), (9, None)]
+    kept = ngram_join.keep_one(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    found = Counter(tuple(x) for x in kept)
+    sevens = [k for k in found if k[0] == 7]
+    assert len(sevens) == 1 and sevens[0] in texts
+    assert {k: v for k, v in found.items() if k[0] != 7} == {k: 1 for k in [(1, a), (5, clean), (8, c), (None, "no id here"), (9, ""), (9, None)]}
+
+
 def test_prefix_tree_on_random_sets():
     r = np.random.default_rng(3)
     for _ in range(30):

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernels as K
 from .components import components
@@ -220,15 +221,20 @@ def tree_task(least: int):
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: int = LEAST, extra: float = EXTRA) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
-    rows = ids_and_texts(docs, id_col, text_col)
+    listed, copies = components_of_rows(ids_and_texts(docs, id_col, text_col), size, least, extra)
+    return listed.join(copies, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def components_of_rows(rows: DataFrame, size: int = 5, least: int = LEAST, extra: float = EXTRA) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, node) of every row, and (node, component, root) of every node; nodes of one component share their root."""
     listed = stored(nodes_of_rows(rows, size), "ngram-nodes")
     labels = link_nodes(rows, listed, size, least, extra)
     named = listed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
     linked = labels.join(named, "node")
     least_id = linked.groupBy("root").agg(F.min("rep").alias("component"))
-    component = stored(linked.join(least_id, "root").select("node", "component"), "ngram-components")
-    copies = stored(named.join(component, "node", "left").select("node", F.coalesce("component", "rep").alias("component")), "ngram-named")
-    return listed.join(copies, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    component = stored(linked.join(least_id, "root").select("node", "component", "root"), "ngram-components")
+    copies = stored(named.join(component, "node", "left").select("node", F.coalesce("component", "rep").alias("component"), F.coalesce("root", "node").alias("root")), "ngram-named")
+    return listed, copies
 
 
 def link_nodes(rows: DataFrame, listed: DataFrame, size: int, least: int, extra: float) -> DataFrame:
@@ -273,11 +279,30 @@ def link_nodes(rows: DataFrame, listed: DataFrame, size: int, least: int, extra:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, without those that link, through others too, to a text with a lesser id.
+    """One row of each component of docs, all columns as they are: that of the least id, of equal ids that of the least set.
 
-    Of rows with equal id and text one stays. Rows without an id go only if an equal row of them stays.
+    Rows go by id and text, so a repeated id takes no other text of its with it. A row without an id stays only if no row
+    of its component has one. Rows without words are kept, of those with equal id and text one.
     """
-    gone = stored(link_components(docs, id_col, text_col).where("doc_id <> component_id").select("doc_id").distinct(), "ngram-gone")
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["doc_id"], "left_anti")
-    columns = kept.columns
-    return kept.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).select(*columns)
+    rows = ids_and_texts(docs, id_col, text_col)
+    listed, copies = components_of_rows(rows)
+    placed = listed.join(copies, "node").select("doc_id", "node", "root")
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node")).alias("first"), F.count("*").alias("c")).where("c > 1")
+    other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node")))
+    gone = stored(placed.join(first, "root").where(other).select(F.col("doc_id").alias("__id"), F.col("node").alias("__gone")).distinct(), "ngram-gone")
+    columns = docs.columns
+    marked = with_node(docs, text_col)
+    kept = marked.join(gone, marked[id_col].cast("long").eqNullSafe(gone["__id"]) & (marked["__node"] == gone["__gone"]), "left_anti")
+    kept = kept.withColumn("__same", F.coalesce(F.col("__node"), F.xxhash64(F.col(text_col).cast("string"))))
+    return kept.dropDuplicates([id_col, "__same"]).select(*columns)
+
+
+def with_node(docs: DataFrame, text_col: str, size: int = 5) -> DataFrame:
+    """docs and the column __node: the fingerprint of the row's set, null for an empty one."""
+    text = docs.withColumn("__words", F.col(text_col).cast("string"))
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        nodes = [pa.array(node.view(np.int64), mask=n == 0) for _, _, n, _, _, node in sets_of(batch.column("__words"), size)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.concat_arrays(nodes)], [*batch.schema.names[:-1], "__node"])
+
+    return map_batches(text, run, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
