@@ -268,6 +268,38 @@ def test_suffix_dedup_on_random_overlaps(spark):
     assert kept.columns == df.columns and all("�" not in x["text"] for x in kept.collect())
 
 
+@pytest.mark.parametrize("size", [450, 1000])
+def test_suffix_dedup_of_texts_longer_than_a_slice(spark, docs, rows, monkeypatch, size):
+    """Texts of any length: they are ranked in slices, whatever the anchors' own limit is."""
+    import random
+
+    monkeypatch.setattr(substrings, "SLICE", size)
+    monkeypatch.setattr(substrings, "RANKED", 300)
+    r = random.Random(9)
+    pool = "".join(r.choice("abcdé ") for _ in range(3000))
+    texts = ["".join(pool[(s := r.randrange(2400)) : s + r.randrange(150, 420)] + r.choice("xyz") for _ in range(r.randrange(1, 12))) for _ in range(20)]
+    texts += texts[:2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for some, want in ((df, list(enumerate(texts))), (docs, [(r[0], r[1]) for r in rows])):
+        found = got(substrings.remove_repeats(some), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert found == sorted(((k, *x) for (k, _), x in zip(want, removed([t for _, t in want]), strict=True)), key=str)
+
+
+def test_no_text_is_too_long_for_the_anchors(monkeypatch):
+    from tickloom.llm import anchors
+
+    monkeypatch.setattr(anchors, "PLACE", 12)
+    monkeypatch.setattr(substrings, "SLICE", 4000)
+    monkeypatch.setattr(substrings, "RANKED", 4000)
+    text = np.random.default_rng(2).integers(97, 123, 30_000, dtype=np.uint8)
+    parts = list(substrings.slices(__import__("pyarrow").array([text.tobytes().decode()] * 50)))
+    starts = []
+    for lo, _, at, buf, off in parts:
+        ranked = substrings.ranked(buf, off, [])
+        starts += [(lo, at + x) for a, b in zip(ranked.first.tolist(), ranked.last.tolist()) for x in range(a, b + 1)]  # noqa: B905
+    assert len(starts) == len(set(starts)) == 50 * (30_000 - 199)
+
+
 def test_quality_rules(docs, rows):
     def slow(text):
         w = WORD.findall(text or "")

@@ -40,6 +40,8 @@ from .spark_io import discard, has_key, key_bitmap, map_batches, stored
 BITS = 1 << 25
 #: Bytes of text ranked at once; a round holds some thirty numbers for each.
 RANKED = 1 << 20
+#: Longer texts are ranked in slices of so many bytes.
+SLICE = 1 << 24
 BLOCKS = (32, 8, 1)
 
 
@@ -121,22 +123,38 @@ def thinned(core: np.ndarray, cover: np.ndarray, op: np.ndarray) -> np.ndarray:
 ROWS = ["core", "cover", "open", "node", "site", "first", "last"]
 
 
+def slices(column: pa.Array) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, place in the text, buf, off) of runs of whole texts, or of a slice of a long text.
+
+    Slices overlap by WIDTH - 1 bytes, so each window lies in one of them. A slice's edge is like a text's: what a block
+    covers is not all there, so its windows are told apart in a later round.
+    """
+    for lo, hi, buf, off in K.text_chunks(column, RANKED):
+        if len(buf) <= SLICE:
+            yield lo, hi, 0, buf, off
+        else:  # one text
+            for at in range(0, len(buf) - WIDTH + 1, SLICE - WIDTH + 1):
+                part = buf[at : at + SLICE]
+                yield lo, hi, at, part, np.array([0, len(part)])
+
+
 def round_rows(texts: DataFrame, levels: list[Level]) -> DataFrame:
     """The positions of the next round in all texts; starts count from the beginning of the text."""
     shared = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        nodes, again = batch.column("node").to_numpy(), set()
-        for lo, hi, buf, off in K.text_chunks(batch.column("text"), RANKED):
+        nodes, again, taken = batch.column("node").to_numpy(), set(), False
+        for lo, hi, at, buf, off in slices(batch.column("text")):
             own = nodes[lo:hi]
-            keep = np.array([x not in again and not again.add(x) for x in own.tolist()], bool)  # equal texts of a batch once
+            keep = np.array([at > 0 and taken or x not in again and not again.add(x) for x in own.tolist()], bool)  # equal texts of a batch once
+            taken = bool(keep.any())  # the slices of a text go together
             if not keep.all():
                 length = np.diff(off)[keep]
                 buf, off, own = K.gather(buf, off[:-1][keep], length), np.concatenate([[0], np.cumsum(length)]), own[keep]
             r = ranked(buf, off, shared.value)
             if len(r.core):
                 doc = np.searchsorted(off, r.first, side="right") - 1
-                node, first, last = own[doc], r.first - off[doc], r.last - off[doc]
+                node, first, last = own[doc], r.first - off[doc] + at, r.last - off[doc] + at
                 site = salted(node.view(np.uint64), first, last).view(np.int64)
                 columns = (r.core.view(np.int64), r.cover.view(np.int64), r.open, node, site, first.astype(np.int32), last.astype(np.int32))
                 send = thinned(r.core, r.cover, r.open)
@@ -209,6 +227,19 @@ def merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[at], end[np.append(at[1:], len(first)) - 1]
 
 
+def without(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> bytes:
+    """The bytes outside of ranges that are in order and do not overlap."""
+    return b"".join(raw[a:b].tobytes() for a, b in zip([0, *end.tolist()], [*first.tolist(), len(raw)], strict=True))
+
+
+def char_start(raw: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
+    """The nearest starts of characters, or the end of the text, from places on in the direction of step."""
+    at = at.copy()
+    while len(inside := np.flatnonzero((at < len(raw)) & ((raw[np.minimum(at, len(raw) - 1)] & 0xC0) == 0x80))):
+        at[inside] += step
+    return at
+
+
 def nodes_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(node, text) of every row, and the stored (doc_id, n_bytes, node, sha256) of every row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -237,11 +268,7 @@ def cut_texts(rows: DataFrame, spans: DataFrame) -> DataFrame:
         for node, text, spans in zip(batch.column("node").to_pylist(), batch.column("text"), batch.column("all"), strict=True):
             raw = np.frombuffer(text.as_buffer(), np.uint8)
             first, end = merged(spans.values.field("first").to_numpy().astype(np.int64), spans.values.field("end").to_numpy().astype(np.int64))
-            edge = np.zeros(len(raw) + 1, np.int64)
-            edge[first] += 1
-            edge[end] -= 1
-            keep = np.cumsum(edge)[:-1] == 0
-            for c, x in zip(out, (node, int((end - first).sum()), len(first), raw[keep].tobytes(), np.stack([first, end], 1).ravel().tolist()), strict=True):
+            for c, x in zip(out, (node, int((end - first).sum()), len(first), without(raw, first, end), np.stack([first, end], 1).ravel().tolist()), strict=True):
                 out[c].append(x)
         yield pa.RecordBatch.from_pydict(out, pa.schema([("node", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("spans", pa.list_(pa.int64()))]))
 
@@ -291,12 +318,8 @@ def keep_unrepeated(docs: DataFrame, text_col: str = "text", chars_col: str | No
                 continue
             raw = np.frombuffer(text.as_buffer(), np.uint8)
             first, end = merged(spans.values.field("first").to_numpy().astype(np.int64), spans.values.field("end").to_numpy().astype(np.int64))
-            starts = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
-            first, end = starts[np.searchsorted(starts, first)], starts[np.searchsorted(starts, end, side="right") - 1]
-            edge = np.zeros(len(raw) + 1, np.int64)
-            edge[first[first < end]] += 1
-            edge[end[first < end]] -= 1
-            out.append(raw[np.cumsum(edge)[:-1] == 0].tobytes().decode("utf-8", "replace"))
+            first, end = char_start(raw, first, 1), char_start(raw, end, -1)
+            out.append(without(raw, first[first < end], end[first < end]).decode("utf-8", "replace"))
         columns = [batch.column(c) for c in names]
         columns[place] = pa.array(out, columns[place].type)
         yield pa.RecordBatch.from_arrays(columns, names)
