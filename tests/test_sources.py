@@ -83,6 +83,17 @@ def make_days(root, dates, tickers=("A", "NA", "SPY", "NULL", "ZZZ", "B")):
     return layout
 
 
+def test_padded_files_are_converted(spark, tmp_path):
+    layout = make_days(tmp_path, ["2026-08-03", "2026-08-04"])
+    for d in ("2026-08-03", "2026-08-04"):
+        path = tmp_path / f"flatfiles/us_stocks_sip/trades_v1/{d[:4]}/{d[5:7]}/{d}.csv.gz"
+        path.write_bytes((path.read_bytes() if d[-1] == "3" else path.read_bytes()[:-12]) + b"\0" * 512)
+    assert stages.convert(spark, layout, ["2026-08-03"], ["trades_v1"], 3, require_all=False) == 0
+    assert parquet.read_day(spark, layout.parquet_dir("trades_v1", "2026-08-03"), "2026-08-03").count() == 60
+    assert stages.convert(spark, layout, ["2026-08-04"], ["trades_v1"], 3, require_all=False) == 1  # cut off, then padded
+    assert not parquet.exists(spark, layout.parquet_dir("trades_v1", "2026-08-04")) and not list(tmp_path.rglob("*trimmed*"))
+
+
 def test_command_line_end_to_end(spark, tmp_path):
     layout = make_days(tmp_path, ["2026-08-03", "2026-08-04"])
     base = ["--root", str(tmp_path), "--dates", "2026-08-03,2026-08-04"]

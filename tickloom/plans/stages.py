@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.intervals import freq_label
 from tickloom.functions.rules import TradeRules
 from tickloom.sources import parquet
-from tickloom.sources.flatfile import read_flatfile
+from tickloom.sources.flatfile import ends_in_nul, read_flatfile, write_trimmed
 from tickloom.sources.layout import FEEDS, Layout
 from tickloom.sources.manifest import unit_status
 
@@ -36,11 +36,17 @@ def convert(spark: SparkSession, layout: Layout, dates: Iterable[str], feeds: It
             if parquet.is_complete(spark, target) or not parquet.exists(spark, source):
                 continue
             began, entry = time.time(), {"feed": feed, "date": date}
+            clean = f"{target}.trimmed.csv.gz"
             try:
+                if ends_in_nul(spark, source):
+                    write_trimmed(spark, source, clean)
+                    source = clean
                 entry["rows"] = parquet.write_partitioned(read_flatfile(spark, source, feed), target, n_partitions, mapping, require_all)
             except Exception as e:
                 parquet.delete(spark, target)
                 status, entry["error"] = 1, f"{type(e).__name__}: {e}"[:500]
+            finally:
+                parquet.delete(spark, clean)
             record(log_file, **entry, seconds=round(time.time() - began, 3))
     return status
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -44,6 +45,35 @@ def trim_padding(source: str, target: str, size: int = 1 << 20) -> None:
             out.write(data)
 
 
+def hadoop_file(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def ends_in_nul(spark: SparkSession, path: str) -> bool:
+    """Whether the last byte of a gzip file is NUL: it may be padded, or its last member is short."""
+    fs, at = hadoop_file(spark, path)
+    size = fs.getFileStatus(at).getLen()
+    if not path.endswith(".gz") or not size:
+        return False
+    stream = fs.open(at)
+    try:
+        stream.seek(size - 1)
+        return stream.read() == 0
+    finally:
+        stream.close()
+
+
+def write_trimmed(spark: SparkSession, source: str, target: str) -> None:
+    """trim_padding for paths of any store, by way of the driver's temporary folder."""
+    (source_fs, source_at), (target_fs, target_at) = hadoop_file(spark, source), hadoop_file(spark, target)
+    with tempfile.TemporaryDirectory() as own:
+        local = spark._jvm.org.apache.hadoop.fs.Path
+        source_fs.copyToLocalFile(False, source_at, local(f"file://{own}/padded.gz"), True)
+        trim_padding(f"{own}/padded.gz", f"{own}/clean.gz")
+        target_fs.copyFromLocalFile(False, True, local(f"file://{own}/clean.gz"), target_at)
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """The column names of the first line that is not blank."""
     first = spark.read.text(path).where(F.length(F.trim("value")) > 0).first()
