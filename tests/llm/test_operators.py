@@ -354,6 +354,14 @@ def test_packing(docs, rows):
     assert words == sum((Counter({x["doc_id"]: x["n_tokens"]}) for x in items), Counter())
 
 
+def test_packing_keeps_near_copies_apart_by_a_cluster_column(docs):
+    linked = docs.where("doc_id is not null").join(ngram_join.link_components(docs).select("doc_id", "component_id").distinct(), "doc_id")
+    items = packing.best_fit(linked, capacity=256, distinct_sources=False, cluster_col="component_id").collect()
+    held = Counter((x["bin_id"], x["cluster"]) for x in items)
+    near = Counter(x["cluster"] for x in items if x["piece"] == 0)
+    assert max(held.values()) == 1 and near[9] > 3  # document 9 and near copies of it
+
+
 def test_packing_takes_the_tightest_compatible_bin():
     assert packing.pack(np.array([6, 5, 4, 3]), np.array([0, 1, 0, 2]), np.arange(4), 10).tolist() == [0, 1, 1, 0]
     assert packing.pack(np.array([6, 4, 4]), np.array([0, 1, 2]), np.array([7, 7, 8]), 10).tolist() == [0, 1, 0]

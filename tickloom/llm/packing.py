@@ -67,10 +67,12 @@ def pack(length: np.ndarray, source: np.ndarray, cluster: np.ndarray, capacity:
     return out
 
 
-def items_of(docs: DataFrame, id_col: str, text_col: str, source_col: str, capacity: int) -> DataFrame:
+def items_of(docs: DataFrame, id_col: str, text_col: str, source_col: str, capacity: int, cluster_col: str | None = None) -> DataFrame:
     """doc_id, source, cluster, piece, start, n_tokens: words and the end of each document, in pieces of up to a bin."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text).alias("cluster"), text.alias("text"))
+    same = F.xxhash64(text)
+    cluster = F.coalesce(F.col(cluster_col).cast("long"), same) if cluster_col else same
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"), text.alias("text"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         n = np.concatenate([K.per_text(K.words(buf, off)[2], hi - lo) for lo, hi, buf, off in K.text_chunks(batch.column("text"))]) + 1
@@ -84,9 +86,12 @@ def items_of(docs: DataFrame, id_col: str, text_col: str, source_col: str, capac
     return map_batches(rows, run, "doc_id long, source string, cluster long, piece long, start long, n_tokens long")
 
 
-def best_fit(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_items: int = SHARD, distinct_sources: bool = True) -> DataFrame:
-    """bin_id, doc_id, piece, start, n_tokens, source, cluster of every piece of every document."""
-    items = stored(items_of(docs, id_col, text_col, source_col, capacity), "packing-items")
+def best_fit(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_items: int = SHARD, distinct_sources: bool = True, cluster_col: str | None = None) -> DataFrame:
+    """bin_id, doc_id, piece, start, n_tokens, source, cluster of every piece of every document.
+
+    Without `cluster_col` only equal texts are a cluster; with it (the component_id of the n-gram join, say) what it names.
+    """
+    items = stored(items_of(docs, id_col, text_col, source_col, capacity, cluster_col), "packing-items")
     shards = max(1, -(-items.count() // shard_items))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)))
 
