@@ -1,5 +1,7 @@
 """Conflict-constrained best-fit packing of documents into bins of a fixed number of tokens.
 
+A token here is a white-space word, and one more is the end of each document; no tokenizer is asked.
+
 Documents are dealt by a hash of their id to shards of about `SHARD` items, whatever the number of documents, and each
 shard is packed alone: longest first, each item into the tightest bin that has room and neither its duplicate
 cluster nor (unless `distinct_sources` is off) its source. Bins stand in the order of their residual; each carries a bitmap
