@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -153,6 +154,28 @@ def test_token_counts_of_plain_files(spark, tmp_path):
     assert got(counts, "ordinal", "start", "n_tokens") == [(0, 0, 2), (1, 2, 1), (2, 3, 4), (3, 7, 1)]
 
 
+def test_ranges_of_large_flat_files(spark, tmp_path):
+    """Files of many blocks, one of which is no whole number of blocks, and an empty one."""
+    r = np.random.default_rng(4)
+    x = {"a.bin": r.integers(0, 50, 40_000).astype("<u4"), "b.bin": r.integers(0, 50, 12_345).astype("<u4"), "c.bin": np.zeros(0, "<u4")}
+    for name, ids in x.items():
+        (tmp_path / name).write_bytes(ids.tobytes())
+    counts = token_files.count_tokens(token_files.read_flat(spark, str(tmp_path), 4096), 7, 4)
+    found = sorted((Path(r["stream"]).name, r["start"], r["n_tokens"]) for r in counts.collect())
+    want = []
+    for name, ids in x.items():
+        ends = [0, *(np.flatnonzero(ids == 7) + 1).tolist(), *([len(ids)] if len(ids) and ids[-1] != 7 else [])]
+        want += [(name, a, b - a) for a, b in zip(ends, ends[1:])]  # noqa: B905
+    assert found == sorted(want)
+
+
+def test_export_writes_whole_files(docs, rows, tmp_path):
+    shards = token_files.write_token_shards(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    assert token_files.export(shards, str(tmp_path / "out")) == len(list((tmp_path / "out").glob("*.tkp"))) == len(list((tmp_path / "out").iterdir()))
+    held = [token_files.Shard(f.read_bytes()) for f in sorted((tmp_path / "out").iterdir())]
+    assert [x if k else None for s in held for x, k in zip(s.doc_ids.tolist(), s.known.tolist(), strict=True)] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x or 0))
+
+
 def test_license_scan(docs, spark):
     import duckdb
 

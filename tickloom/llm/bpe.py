@@ -30,7 +30,7 @@ from .memo import UnitMemo
 from .spark_io import ids_and_texts, map_batches
 
 #: White space beyond ASCII: with it in a text, words of the text are not what ASCII white space parts.
-WIDE_SPACE = regex.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+WIDE_SPACE = rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 
 
 def lower(text: str) -> str:
@@ -47,7 +47,10 @@ class Bpe:
         self.suffix = model["end_of_word_suffix"] or ""
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        if any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that take in or depend on their surroundings are not supported")
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.unusual = regex.compile(b"|".join([WIDE_SPACE, *(regex.escape(t.encode(), special_only=True) for t in self.added)]))
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pattern = regex.compile(next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split"))
         self.strings: list[str] = [""] * (max([*self.vocab.values(), *self.added.values()]) + 1)
@@ -56,7 +59,8 @@ class Bpe:
         self.raw = [t.encode() for t in self.strings]
         self.plain = [self.vocab.get(AS_CHAR[b], -1) for b in range(256)]
         self.final = [self.vocab.get(AS_CHAR[b] + self.suffix, -1) for b in range(256)]
-        self.memo = UnitMemo(self.chunks)
+        self.code, self.kind = ("H", np.uint16) if len(self.strings) <= 1 << 16 else ("I", np.uint32)
+        self.memo = UnitMemo(self.chunks, self.kind)
         self.pieces: dict[str, array] = {}
 
     def merge(self, piece: bytes) -> array:
@@ -89,50 +93,56 @@ class Bpe:
                 got = merges.get((ids[i], merged))
                 if got:
                     heapq.heappush(queue, (got[0], i, got[1], ids[i], merged))
-        return array("H", [x for x in ids if x >= 0])
+        return array(self.code, [x for x in ids if x >= 0])
 
     def encode(self, text: str) -> array:
-        """The ids of a text or of any part of it that ends where white space begins."""
-        out = array("H")
-        for part in self.split_added.split(text) if self.split_added and "<|" in text else (text,):
+        """The ids of a text: what is between added tokens is normalised and split into pieces."""
+        out = array(self.code)
+        for part in self.split_added.split(text) if self.split_added else (text,):
             if part in self.added:
                 out.append(self.added[part])
-                continue
-            if not part.isascii():
-                part = unicodedata.normalize("NFC", part)
-            for piece in self.pattern.findall(lower(part)):
-                ids = self.pieces.get(piece)
-                if ids is None:
-                    ids = self.merge(piece.encode())
-                    if len(self.pieces) > 300_000:
-                        self.pieces.clear()
-                    self.pieces[piece] = ids
-                out += ids
+            else:
+                out += self.plain_ids(part)
+        return out
+
+    def plain_ids(self, part: str) -> array:
+        """The ids of text without added tokens that ends where white space begins."""
+        out = array(self.code)
+        if not part.isascii():
+            part = unicodedata.normalize("NFC", part)
+        for piece in self.pattern.findall(lower(part)):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self.merge(piece.encode())
+                if len(self.pieces) > 300_000:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+            out += ids
         return out
 
     def decode(self, ids) -> str:
         return " ".join([self.strings[k] for k in ids])
 
     def chunks(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        flat, count = array("H"), array("l")
+        flat, count = array(self.code), array("l")
         for t in texts:
-            got = self.encode(t.decode("utf-8", "replace"))
+            got = self.plain_ids(t.decode("utf-8", "replace"))
             flat += got
             count.append(len(got))
-        return np.frombuffer(flat, np.uint16) if flat else np.zeros(0, np.uint16), np.frombuffer(count, np.int64)
+        return np.frombuffer(flat, self.kind) if flat else np.zeros(0, self.kind), np.frombuffer(count, np.int64)
 
     def texts(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids (uint16) of whole texts one after another, and how many each has; every distinct word is merged once."""
+        """The ids of whole texts one after another, and how many each has; every distinct word is merged once."""
         n, raw = len(off) - 1, buf.tobytes()
         odd = np.zeros(n, bool)
-        odd[np.searchsorted(off, [m.start() for m in WIDE_SPACE.finditer(raw)], side="right") - 1] = True
+        odd[np.searchsorted(off, [m.start() for m in self.unusual.finditer(raw, overlapped=True)], side="right") - 1] = True
         start, end, doc = K.words(buf, off)
         live = ~odd[doc]
         start, end, doc = start[live], end[live], doc[live]
-        ids, length = self.memo.ids(buf, start, end, K.spans(K.prefix(buf), start, end))
+        ids, length = self.memo.ids(buf, start, end)
         count = np.bincount(doc, length, n).astype(np.int64)
         if odd.any():
-            own = {int(k): np.array(self.encode(raw[off[k] : off[k + 1]].decode("utf-8", "replace")), np.uint16) for k in np.flatnonzero(odd)}
+            own = {int(k): np.array(self.encode(raw[off[k] : off[k + 1]].decode("utf-8", "replace")), self.kind) for k in np.flatnonzero(odd)}
             at = np.cumsum(count) - count
             ids = np.concatenate([own[k] if k in own else ids[at[k] : at[k] + count[k]] for k in range(n)])
             for k, x in own.items():

@@ -39,8 +39,8 @@ def vectors(t: Texts) -> np.ndarray:
     """A row of transformed statistics for each text; shares are mapped by log(share + 0.01), which spreads small ones."""
     words, chars, size = t.n_words.astype(float), t.word_chars.astype(float), np.diff(t.off).astype(float)
     lines, dup = (x.astype(float) for x in t.line_counts)
-    start, end, doc = t.words
-    keys = K.scoped(K.spans(t.run, start, end), doc)
+    doc = t.words[2]
+    keys = K.scoped(t.word_keys, doc)
     _, first = np.unique(keys, return_index=True)
     distinct = K.per_text(doc[first], t.n)
     share = lambda a, b: np.log(a / np.maximum(b, 1.0) + 0.01)

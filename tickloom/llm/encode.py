@@ -8,7 +8,6 @@ white space beyond ASCII, ASCII separators or an added token are given to the li
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from functools import lru_cache
 
@@ -18,7 +17,7 @@ import regex
 from . import kernels as K
 from .memo import UnitMemo
 
-UNUSUAL = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf|<\|")
+UNUSUAL = rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
 
 #: The split of the byte-level pre-tokeniser, and the character that stands for each byte: fixed values of the file format.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -46,11 +45,14 @@ class ByteEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.model = self.tokenizer.model
-        self.memo, self.pieces = UnitMemo(self.by_piece), {}
+        added = (t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.unusual = regex.compile(b"|".join([UNUSUAL, *(regex.escape(t, special_only=True) for t in added)]))
+        self.code, self.kind = ("H", np.uint16) if vocabulary_size(path) <= 1 << 16 else ("I", np.uint32)
+        self.memo, self.pieces = UnitMemo(self.by_piece, self.kind), {}
 
     def by_piece(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Units through the library's BPE model, piece by piece: half the time of the library's whole path."""
-        flat, count, pieces, split, tokenize = array("H"), array("l"), self.pieces, PIECES.findall, self.model.tokenize
+        flat, count, pieces, split, tokenize = array(self.code), array("l"), self.pieces, PIECES.findall, self.model.tokenize
         if len(pieces) > 200_000:
             pieces.clear()
         for t in texts:
@@ -58,27 +60,27 @@ class ByteEncoder:
             for piece in split(t.decode("utf-8", "replace")):
                 got = pieces.get(piece)
                 if got is None:
-                    got = pieces[piece] = array("H", [x.id for x in tokenize(piece.encode().decode("latin-1").translate(AS_CHAR))])
+                    got = pieces[piece] = array(self.code, [x.id for x in tokenize(piece.encode().decode("latin-1").translate(AS_CHAR))])
                 flat += got
             count.append(len(flat) - before)
-        return np.frombuffer(flat, np.uint16) if flat else np.zeros(0, np.uint16), np.frombuffer(count, np.int64)
+        return np.frombuffer(flat, self.kind) if flat else np.zeros(0, self.kind), np.frombuffer(count, np.int64)
 
     def library(self, texts: list[bytes]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
 
     def __call__(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids (uint16) of all texts, and how many each has."""
+        """The ids of all texts, and how many each has."""
         n = len(off) - 1
         raw = buf.tobytes()
         odd = np.zeros(n, bool)
-        odd[np.searchsorted(off, [m.start() for m in UNUSUAL.finditer(raw)], side="right") - 1] = True
+        odd[np.searchsorted(off, [m.start() for m in self.unusual.finditer(raw, overlapped=True)], side="right") - 1] = True
         start, end, doc = units(buf, off)
         if odd.any():
             start, end, doc = (x[~odd[doc]] for x in (start, end, doc))
-        ids, length = self.memo.ids(buf, start, end, K.spans(K.prefix(buf), start, end))
+        ids, length = self.memo.ids(buf, start, end)
         count = np.bincount(doc, length, n).astype(np.int64)
         if odd.any():
-            own = {int(k): np.array(x, np.uint16) for k, x in zip(np.flatnonzero(odd), self.library([raw[off[k] : off[k + 1]] for k in np.flatnonzero(odd)]), strict=True)}
+            own = {int(k): np.array(x, self.kind) for k, x in zip(np.flatnonzero(odd), self.library([raw[off[k] : off[k + 1]] for k in np.flatnonzero(odd)]), strict=True)}
             at = np.cumsum(count) - count
             ids = np.concatenate([own[k] if k in own else ids[at[k] : at[k] + count[k]] for k in range(n)])
             for k, x in own.items():
@@ -93,6 +95,7 @@ def byte_encoder(path: str, special: bool = True) -> ByteEncoder:
 
 
 def vocabulary_size(path: str) -> int:
+    """One more than the largest id, added tokens included."""
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path).get_vocab_size()
+    return max(Tokenizer.from_file(path).get_vocab().values(), default=0) + 1

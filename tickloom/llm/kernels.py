@@ -7,6 +7,7 @@ dealt to partitions or batches. Memory is a small multiple of the chunk: `CHUNK`
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +60,40 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+#: The low bytes of a word that a string of so many bytes fills, and from how many bytes on a string is digested whole.
+LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+DIGESTED = 512
+
+
+def wide(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one little-endian number, zeros after the end."""
+    padded = np.zeros(len(buf) + 16, np.uint8)
+    padded[: len(buf)] = buf
+    out = np.empty(len(buf) + 1, np.uint64)
+    for r in range(min(8, len(out))):
+        own = out[r::8]
+        own[:] = padded[r : r + 8 * len(own)].view("<u8")
+    return out
+
+
+def strings(at8: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit fingerprints of the substrings [start, end); at8 is `wide(buf)`. Each seed gives independent ones.
+
+    Every eight bytes go through `mix`, which is not linear, so strings that polynomials modulo a power of two cannot tell
+    apart (Thue-Morse words) differ. Strings of `DIGESTED` bytes or more go through BLAKE2b.
+    """
+    size = end - start
+    h = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    live, at, left = slice(None), start, size
+    while len(at):
+        h[live] = mix(h[live] * np.uint64(0xD6E8FEB86659FD93) + (at8[at] & LOW[np.minimum(left, 8)]))
+        more = np.flatnonzero((left > 8) & (left < DIGESTED)) if isinstance(live, slice) else np.flatnonzero(left > 8)
+        live, at, left = more if isinstance(live, slice) else live[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size >= DIGESTED).tolist():
+        h[k] = int.from_bytes(hashlib.blake2b(buf[start[k] : end[k]], digest_size=8, key=seed.to_bytes(8, "little")).digest(), "little")
+    return h
+
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -82,7 +117,8 @@ def prefix(buf: np.ndarray) -> np.ndarray:
 
 
 def spans(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of the substrings [start, end); they take in the length."""
+    """Quick fingerprints of the substrings [start, end), to sort candidates only: some different strings have equal ones, so
+    what decides is read from `strings`."""
     _, down = powers(len(run))
     return mix((run[end] - run[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -120,6 +156,10 @@ def lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, end, own
 
 
+def chained(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + w
+
+
 def windows(w: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions (in the word list) where `size` words of one text begin, and the fingerprints of those runs."""
     n = len(w) - size + 1
@@ -128,7 +168,7 @@ def windows(w: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     at = np.flatnonzero(doc[:n] == doc[size - 1 :])
     h = np.zeros(len(at), np.uint64)
     for k in range(size):
-        h = h * np.uint64(0xD6E8FEB86659FD93) + w[at + k]
+        h = chained(h, w[at + k])
     return at, mix(h)
 
 
@@ -144,7 +184,7 @@ def shingles(buf: np.ndarray, off: np.ndarray, size: int = 5) -> tuple[np.ndarra
     """
     low = LOWER[buf]
     start, end, doc = words(low, off)
-    w = spans(prefix(low), start, end)
+    w = strings(wide(low), low, start, end)
     at, h = windows(w, doc, size)
     own = doc[at]
     n = per_text(doc, len(off) - 1)
@@ -154,7 +194,7 @@ def shingles(buf: np.ndarray, off: np.ndarray, size: int = 5) -> tuple[np.ndarra
         g = n[few].astype(np.uint64) + np.uint64(77)
         for k in range(size - 1):
             has = n[few] > k
-            g[has] = g[has] * np.uint64(0xD6E8FEB86659FD93) + w[first[has] + k]
+            g[has] = chained(g[has], w[first[has] + k])
         own, h = np.concatenate([own, few]), np.concatenate([h, mix(g)])
     order = np.lexsort((h, own))
     own, h = own[order], h[order]

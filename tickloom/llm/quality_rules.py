@@ -40,8 +40,15 @@ class Texts:
         return Texts(K.gather(self.buf, self.off[:-1][mask], length), np.concatenate([[0], np.cumsum(length)]))
 
     @cached_property
-    def run(self) -> np.ndarray:
-        return K.prefix(self.buf)
+    def at8(self) -> np.ndarray:
+        return K.wide(self.buf)
+
+    def strings(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return K.strings(self.at8, self.buf, start, end)
+
+    @cached_property
+    def word_keys(self) -> np.ndarray:
+        return self.strings(*self.words[:2])
 
     @cached_property
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,7 +77,7 @@ class Texts:
         solid = np.concatenate([[0], np.cumsum(~K.SPACE[self.buf])])
         live = solid[end] > solid[start]
         start, end, doc = start[live], end[live], doc[live]
-        keys = K.scoped(K.spans(self.run, start, end), doc)
+        keys = K.scoped(self.strings(start, end), doc)
         _, first = np.unique(keys, return_index=True)
         full = K.per_text(doc, self.n)
         return full, full - K.per_text(doc[first], self.n)
@@ -79,7 +86,7 @@ class Texts:
     def n_repeat_words(self) -> np.ndarray:
         """Words that lie in an 8-word window found at least twice in the text, its first place included."""
         start, end, doc = self.words
-        at, h = K.windows(K.spans(self.run, start, end), doc, REPEAT_WINDOW)
+        at, h = K.windows(self.word_keys, doc, REPEAT_WINDOW)
         keys = K.scoped(h, doc[at])
         order = np.argsort(keys)
         same = keys[order][1:] == keys[order][:-1]

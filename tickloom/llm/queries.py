@@ -37,9 +37,11 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, start (in its stream), n_tokens of every document, counted in the flat streams."""
-    blocks, listed = token_files.write_flat(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
-    return token_files.count_tokens(blocks, 50256).join(listed, ["stream", "ordinal"]).select("doc_id", "stream", "ordinal", "start", "n_tokens")
+    """doc_id, n_tokens (end id included) of every document, counted in flat streams. Which stream a document is in and where
+    depends on how the input is split, so these columns stay out."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    blocks, listed = token_files.write_flat(table(spark, sf_dir, "documents"), path, end_id=50256)
+    return token_files.count_tokens(blocks, 50256, token_files.id_bytes(path)).join(listed, ["stream", "ordinal"]).select("doc_id", "n_tokens")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@
 packed in groups of 32 (`bits` little-endian 32-bit words each), so any group can be unpacked alone: block offsets
 make a document readable without what precedes it. Layout, little-endian:
 
-    magic "TKP1", bits u32, documents u64, ids u64, ids in a block u64
+    magic "TKP2", bits u32, documents u64, ids u64, ids in a block u64
     doc ids   i64 x documents
+    known     u8 x documents      0 where the doc id is null; padded to a multiple of 8
     doc ends  u64 x documents     ids up to and including each document's end id
     blocks    u64 x blocks        byte offset of each block in the packed part
     packed    u32 x ...
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,12 +38,11 @@ from . import kernels as K
 from .encode import byte_encoder, vocabulary_size
 from .spark_io import ids_and_texts, map_batches, stored
 
-MAGIC = b"TKP1"
+MAGIC = b"TKP2"
 #: Ids in a block of a shard, and about how many ids a shard takes before it is closed.
 BLOCK, SHARD = 4096, 1 << 20
 #: Bytes in a block of a flat stream.
 FLAT_BLOCK = 1 << 20
-NULL_ID = -(1 << 63)
 
 
 def pack(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -70,10 +71,11 @@ def unpack(packed: np.ndarray, bits: int, n: int) -> np.ndarray:
     return out.reshape(-1)[:n]
 
 
-def write_shard(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK) -> bytes:
+def write_shard(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK, known: np.ndarray | None = None) -> bytes:
+    known = np.ones(len(doc_ids), np.uint8) if known is None else known.astype(np.uint8)
     blocks = np.arange(-(-len(ids) // block), dtype="<u8") * (block // 32 * bits * 4)
     head = MAGIC + struct.pack("<IQQQ", bits, len(doc_ids), len(ids), block)
-    return b"".join([head, doc_ids.astype("<i8").tobytes(), np.cumsum(counts).astype("<u8").tobytes(), blocks.tobytes(), pack(ids, bits).tobytes()])
+    return b"".join([head, doc_ids.astype("<i8").tobytes(), known.tobytes(), bytes(-len(known) % 8), np.cumsum(counts).astype("<u8").tobytes(), blocks.tobytes(), pack(ids, bits).tobytes()])
 
 
 class Shard:
@@ -83,12 +85,13 @@ class Shard:
         if data[:4] != MAGIC:
             raise ValueError("not a token shard")
         self.bits, docs, self.n, self.block = struct.unpack_from("<IQQQ", data, 4)
-        at = 32
-        self.doc_ids = np.frombuffer(data, "<i8", docs, at)
-        self.ends = np.frombuffer(data, "<u8", docs, at + 8 * docs).astype(np.int64)
+        self.doc_ids = np.frombuffer(data, "<i8", docs, 32)
+        self.known = np.frombuffer(data, np.uint8, docs, 32 + 8 * docs).astype(bool)
+        at = 32 + 8 * docs + -(-docs // 8) * 8
+        self.ends = np.frombuffer(data, "<u8", docs, at).astype(np.int64)
         n_blocks = -(-self.n // self.block)
-        self.blocks = np.frombuffer(data, "<u8", n_blocks, at + 16 * docs)
-        self.body, self.data = at + 16 * docs + 8 * n_blocks, data
+        self.blocks = np.frombuffer(data, "<u8", n_blocks, at + 8 * docs)
+        self.body, self.data = at + 8 * (docs + n_blocks), data
 
     def read(self, start: int, end: int) -> np.ndarray:
         if start >= end:
@@ -115,7 +118,7 @@ def ranges(df: DataFrame) -> int:
 
 
 def encode_texts(docs: DataFrame, path: str, end_id: int, special: bool, close, id_col: str, text_col: str, schema: str, in_order: bool) -> DataFrame:
-    """Texts, in doc id order if so asked, through the encoder; `close(part, number, doc ids, counts, ids)` makes rows of what has gathered.
+    """Texts, in doc id order if so asked, through the encoder; `close(part, number, doc ids, whether they are known, counts, ids)` makes rows of what has gathered.
 
     One range shuffle of whole texts puts them in order, else there is no shuffle; a task holds what is between two calls of `close`.
     """
@@ -125,7 +128,7 @@ def encode_texts(docs: DataFrame, path: str, end_id: int, special: bool, close,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder, number = TaskContext.get().partitionId(), byte_encoder(path, special), 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal number
@@ -135,13 +138,14 @@ def encode_texts(docs: DataFrame, path: str, end_id: int, special: bool, close,
                 held.clear()
 
         for batch in batches:
-            doc_ids = batch.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            doc_ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             for lo, hi, buf, off in K.text_chunks(batch.column("text"), 1 << 21):
                 ids, count = encoder(buf, off)
                 ends = np.cumsum(count)
-                with_end = np.insert(ids, ends, end_id)
-                held.append((doc_ids[lo:hi], count + 1, with_end))
-                if sum(len(x[2]) for x in held) >= SHARD:
+                with_end = np.insert(ids, ends, ids.dtype.type(end_id))
+                held.append((doc_ids[lo:hi], known[lo:hi], count + 1, with_end))
+                if sum(len(x[3]) for x in held) >= SHARD:
                     yield from flush()
         yield from flush()
 
@@ -155,23 +159,22 @@ def write_token_shards(docs: DataFrame, path: str, end_id: int = 0, id_col: str
     """
     bits = max(1, (vocabulary_size(path) - 1).bit_length())
 
-    def close(part, number, doc_ids, counts, ids):
-        data = write_shard(doc_ids, counts, ids, bits)
+    def close(part, number, doc_ids, known, counts, ids):
+        data = write_shard(doc_ids, counts, ids, bits, known=known)
         return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "shard": pa.array([number], pa.int64()), "n_tokens": [len(ids)], "n_bytes": [len(data)], "data": pa.array([data], pa.binary())})
 
     return stored(encode_texts(docs, path, end_id, True, close, id_col, text_col, "part long, shard long, n_tokens long, n_bytes long, data binary", in_order=True), "token-shards")
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
-    """part, shard, first: ids before each shard. Sums within parts in parallel, then over parts, of which there are as many as shuffle partitions."""
-    spark = shards.sparkSession
+    """part, shard, first: ids before each shard, summed within parts and then over parts.
+
+    The second sum runs over one row of two numbers for each part (128 MB of input or more), in one task.
+    """
     inside = shards.select("part", "shard", "n_tokens").withColumn("before", F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens"))
-    total, offsets = 0, []
-    for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():
-        offsets.append((r["part"], total))
-        total += r["n"]
-    parts = spark.createDataFrame(offsets, "part long, base long")
-    return inside.join(F.broadcast(parts), "part").select("part", "shard", (F.col("base") + F.col("before")).alias("first"))
+    totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    parts = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
+    return inside.join(parts, "part").select("part", "shard", (F.col("base") + F.col("before")).alias("first"))
 
 
 def read_token_shards(shards: DataFrame) -> DataFrame:
@@ -187,38 +190,42 @@ def read_token_shards(shards: DataFrame) -> DataFrame:
             begin = np.concatenate([[0], shard.ends[:-1]])
             crc = [zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(begin.tolist(), shard.ends.tolist(), strict=True)]
             n = len(begin)
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part.as_py()] * n, pa.int64()), "shard": pa.array([number.as_py()] * n, pa.int64()), "doc_id": pa.array(shard.doc_ids, mask=shard.doc_ids == NULL_ID), "at": begin, "n_tokens": shard.ends - begin, "ids_crc32": pa.array(crc, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part.as_py()] * n, pa.int64()), "shard": pa.array([number.as_py()] * n, pa.int64()), "doc_id": pa.array(shard.doc_ids, mask=~shard.known), "at": begin, "n_tokens": shard.ends - begin, "ids_crc32": pa.array(crc, pa.int64())})
 
     read_back = map_batches(shards.select("part", "shard", "data"), read, "part long, shard long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return read_back.join(shard_starts(shards), ["part", "shard"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def export(shards: DataFrame, folder: str) -> int:
-    """Writes each shard as a plain file `part-shard.tkp` into a folder that all executors share; how many there are."""
-    import os
+    """Writes each shard as a plain file `part-shard.tkp` into a folder (a path or URI that pyarrow opens and all executors share); how many there are.
 
-    os.makedirs(folder, exist_ok=True)
+    A file appears under its name when it is whole, so a task that is repeated leaves none in part.
+    """
 
     def put(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        store, at = files_of(folder)
+        store.create_dir(at)
         for part, number, data in zip(*(batch.column(c).to_pylist() for c in ("part", "shard", "data")), strict=True):
-            with open(f"{folder}/.{part:06}-{number:06}.{TaskContext.get().taskAttemptId()}", "wb") as f:
+            partial = f"{at}/.{part:06}-{number:06}.{TaskContext.get().taskAttemptId()}"
+            with store.open_output_stream(partial) as f:
                 f.write(data)
-            os.replace(f.name, f"{folder}/{part:06}-{number:06}.tkp")
+            store.move(partial, f"{at}/{part:06}-{number:06}.tkp")
         yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
 
     return map_batches(shards, put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def write_flat(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = FLAT_BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Encodes texts, in the order of the input, into flat streams of 16-bit ids, one for each task, and lists which document is which in them.
+    """Encodes texts, in the order of the input, into flat streams, one for each task, and lists which document is which in them.
 
-    Returns (blocks: stream, block, data) and (documents: stream, ordinal, doc_id), both stored. Strings of added tokens in
-    a text are ordinary text here, so that an end id always ends a document.
+    Ids take two bytes, or four where the vocabulary needs them (`id_bytes`). Returns (blocks: stream, block, data) and
+    (documents: stream, ordinal, doc_id), both stored. Strings of added tokens in a text are ordinary text here, so that an
+    end id always ends a document.
     """
-    schema = "stream long, block long, data binary, base long, doc_ids array<long>"
+    schema, kind = "stream long, block long, data binary, base long, doc_ids array<long>", f"<u{id_bytes(path)}"
 
-    def close(part, number, doc_ids, counts, ids):
-        return pa.RecordBatch.from_pydict({"stream": pa.array([part], pa.int64()), "block": pa.array([number], pa.int64()), "data": pa.array([ids.astype("<u2").tobytes()], pa.binary()), "base": pa.array([0], pa.int64()), "doc_ids": pa.array([[None if x == NULL_ID else x for x in doc_ids.tolist()]], pa.list_(pa.int64()))})
+    def close(part, number, doc_ids, known, counts, ids):
+        return pa.RecordBatch.from_pydict({"stream": pa.array([part], pa.int64()), "block": pa.array([number], pa.int64()), "data": pa.array([ids.astype(kind).tobytes()], pa.binary()), "base": pa.array([0], pa.int64()), "doc_ids": pa.ListArray.from_arrays([0, len(doc_ids)], pa.array(doc_ids, mask=~known))})
 
     encoded = encode_texts(docs, path, end_id, False, close, id_col, text_col, schema, in_order=False)
 
@@ -244,15 +251,43 @@ def write_flat(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
     return blocks, listed
 
 
+def id_bytes(path: str) -> int:
+    return 2 if vocabulary_size(path) <= 1 << 16 else 4
+
+
+def files_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """The pyarrow file system of a URI or plain path, and the path in it."""
+    scheme, _, rest = uri.partition(":")
+    return fs.FileSystem.from_uri(f"file:///{rest.lstrip('/')}" if scheme == "file" else uri if ":" in uri else f"file://{uri}")
+
+
 def read_flat(spark: SparkSession, path: str, block_bytes: int = FLAT_BLOCK) -> DataFrame:
-    """Blocks (stream: the file's path, block, data) of flat token files that any Spark file system holds."""
+    """Blocks (stream: the file's path, block, data) of flat token files of any size.
+
+    Spark lists the files; each block is a row that a task reads by its range alone, so a large file is shared by all tasks.
+    Where only Spark's readers open a store, files are read whole and may have no more than 2 GB each.
+    """
+    schema, names = "stream string, block long, data binary", spark.read.format("binaryFile").load(path)
+
+    def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for name, k in zip(batch.column("path").to_pylist(), batch.column("block").to_pylist(), strict=True):
+            store, at = files_of(name)
+            with store.open_input_file(at) as f:
+                yield pa.RecordBatch.from_pydict({"stream": [name], "block": [k], "data": pa.array([f.read_at(min(block_bytes, f.size() - k * block_bytes), k * block_bytes)], pa.binary())})
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for name, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
             for k in range(0, len(data), block_bytes):
                 yield pa.RecordBatch.from_pydict({"stream": [name], "block": [k // block_bytes], "data": pa.array([data[k : k + block_bytes]], pa.binary())})
 
-    return map_batches(spark.read.format("binaryFile").load(path).select("path", "content"), cut, "stream string, block long, data binary")
+    some = names.select("path").first()
+    try:
+        files_of(some["path"] if some else "file:/")
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return map_batches(names.select("path", "content"), cut, schema)
+    last = F.ceil(F.col("length") / F.lit(block_bytes)) - 1
+    ranges = names.where("length > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+    return map_batches(ranges.repartition("path", "block"), part, schema)
 
 
 def count_tokens(blocks: DataFrame, end_id: int, id_bytes: int = 2) -> DataFrame:
