@@ -14,7 +14,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tickloom.llm import bpe, classifier, components, encode, kernels, license_scan, media, ngram_join, packing, quality_rules, substrings, token_files  # noqa: E402
+from tickloom.llm import bpe, classifier, components, encode, kernels, key_filter, license_scan, media, ngram_join, packing, quality_rules, substrings, token_files  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -58,11 +58,39 @@ def test_ngram_components(docs, rows, monkeypatch, block):
 
 def test_ngram_join_keeps_one_of_each_group(docs, rows):
     groups = {c for _, _, c in slow_components(rows)}
-    kept = ngram_join.keep_one(docs)
-    assert kept.columns == docs.columns
+    kept = ngram_join.keep_one(docs.withColumns({"row": F.lit(1), "id": F.lit("x"), "same": F.lit(2), "gone_id": F.lit(3), "__node": F.lit(4)}))
+    assert kept.columns == [*docs.columns, "row", "id", "same", "gone_id", "__node"] and kept.where("row = 1 and same = 2 and gone_id = 3 and __node = 4").count() == kept.count()
     assert {r["doc_id"] for r in kept.collect() if r["doc_id"] is not None} == groups - {None}
 
 
+def test_a_shingle_of_very_many_texts_makes_no_cluster(spark):
+    """Texts of one template that have too little else in common: neither their pairs nor a cluster come up."""
+    template = list(range(1_000_000, 1_000_080))
+    rows = [(k, 100, [9_000 + (k + j) // 2 for j in range(4)] + template) for k in range(2000)]  # 80 of 100 common, a few shared by two or three
+    rows += [(5000 + k, 100, [50_000 + j for j in range(10)] + template) for k in range(2)]  # 90 common: linked
+    ordered = spark.createDataFrame(rows, "node long, n long, tokens array<long>")
+    assert got(ngram_join.clusters(ordered, 75), "node", "cluster") == [(5000, 5000), (5001, 5000)]
+
+
+def test_pages_of_one_template_are_told_apart(spark):
+    r = __import__("random").Random(6)
+    from .conftest import prose
+
+    head = prose(r, 60)
+    texts = [f"{head} {prose(r, 18)}" for _ in range(120)]
+    texts += [t + " more" for t in texts[:5]]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(ngram_join.link_components(df), "doc_id", "n_shingles", "component_id") == slow_components(rows)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_ngram_components_without_bitmaps(docs, rows, monkeypatch, limit):
+    monkeypatch.setattr(key_filter, "LIMIT_BITS", limit)
+    monkeypatch.setattr(components, "EDGES", 3)
+    assert got(ngram_join.link_components(docs), "doc_id", "n_shingles", "component_id") == slow_components(rows)
+
+
 def test_keep_one_goes_by_rows(spark):
     """A repeated id on different texts: the clean one stays; of near texts with the same least id one stays."""
     from .conftest import prose
@@ -308,6 +336,30 @@ def test_suffix_dedup_of_texts_longer_than_a_slice(spark, docs, rows, monkeypatc
         assert found == sorted(((k, *x) for (k, _), x in zip(want, removed([t for _, t in want]), strict=True)), key=str)
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 18])
+def test_suffix_dedup_without_bitmaps(spark, docs, rows, monkeypatch, limit):
+    """Beyond the size of a bitmap ranks are told by joins."""
+    monkeypatch.setattr(key_filter, "LIMIT_BITS", limit)
+    monkeypatch.setattr(key_filter, "BITS_A_KEY", 1 << 12 if limit else 8)
+    want = sorted(((r[0], *x) for r, x in zip(rows, removed([r[1] for r in rows]), strict=True)), key=str)
+    assert got(substrings.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_many_copies_and_columns_of_any_name(spark):
+    """One text with copies in every partition, next to texts that share a passage; columns named like the operator's own."""
+    r = __import__("random").Random(3)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    passage, common = " ".join(word() for _ in range(60)), " ".join(word() for _ in range(80))
+    texts = [common] * 3000 + [f"{k} {passage} {word()}" for k in range(50)] + [" ".join(word() for _ in range(100)) for _ in range(50)]
+    df = spark.createDataFrame([(k, t, k, "n", 1, [k], "a", 2) for k, t in enumerate(texts)], "doc_id long, text string, node long, row string, n_bytes int, all array<int>, __node string, __spans int").repartition(12)
+    kept = substrings.keep_unrepeated(df)
+    assert kept.columns == df.columns
+    found = {x["doc_id"]: x for x in kept.collect()}
+    assert all(found[k]["text"] == "" and found[k]["node"] == k and found[k]["all"] == [k] and found[k]["__spans"] == 2 for k in range(3000))
+    assert all(passage[20:-20] not in found[k]["text"] and found[k]["text"].startswith(str(k - 3000)) for k in range(3000, 3050))
+    assert all(found[k]["text"] == texts[k] for k in range(3050, 3100))
+
+
 def test_no_text_is_too_long_for_the_anchors(monkeypatch):
     from tickloom.llm import anchors
 

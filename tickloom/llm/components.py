@@ -19,10 +19,15 @@ from pyspark.sql import functions as F
 from .spark_io import discard, stored
 
 SCHEMA = "u long, v long"
+#: Edges of a partition, and nodes that a first, partial merge holds at once.
+EDGES = 1 << 20
 
 
-def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One edge from each node of a partition, but the least ones, to the least node that its edges connect it with."""
+def merge(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """One edge from each node of a partition, but the least ones, to the least node that its edges connect it with.
+
+    With a limit what has been merged is sent whenever so many nodes are held, and a node may have an edge of each part.
+    """
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -33,16 +38,22 @@ def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parent[x], x = top, parent[x]
         return top
 
+    def found() -> Iterator[pa.RecordBatch]:
+        nodes = [x for x in parent if parent[x] != x]
+        for k in range(0, len(nodes), 100_000):
+            part = nodes[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(part, np.int64)), pa.array(np.array([root(x) for x in part], np.int64))], ["u", "v"])
+
     for batch in batches:
         for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
             a, b = root(u), root(v)
             if a != b:
                 parent[max(a, b)] = min(a, b)
                 parent.setdefault(min(a, b), min(a, b))
-    nodes = [x for x in parent if parent[x] != x]
-    for k in range(0, len(nodes), 100_000):
-        part = nodes[k : k + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(part, np.int64)), pa.array(np.array([root(x) for x in part], np.int64))], ["u", "v"])
+        if limit and len(parent) >= limit:
+            yield from found()
+            parent.clear()
+    yield from found()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -50,19 +61,24 @@ def components(edges: DataFrame) -> DataFrame:
 
     Nodes without an edge to another node are not listed.
     """
-    now = edges.select("u", "v").mapInArrow(merge, SCHEMA)
+    spark = edges.sparkSession
+    now = stored(edges.select("u", "v").mapInArrow(lambda batches: merge(batches, EDGES), SCHEMA), "edges")
     while True:
-        old, now = now, stored(now.repartition("u").mapInArrow(merge, SCHEMA), "edges")
-        if hasattr(old, "_stored_at"):
-            discard(old)
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-now.count() // EDGES))
+        old, now = now, stored(now.repartition(parts, "u").mapInArrow(merge, SCHEMA), "edges")
+        discard(old)
         if now.groupBy("u").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a <> b").isEmpty():
             break
-    now = stored(now.groupBy("u").agg(F.min("v").alias("v")), "forest")
+    old, now = now, stored(now.groupBy("u").agg(F.min("v").alias("v")), "forest")
+    discard(old)
     while True:
         up = now.select(F.col("u").alias("v"), F.col("v").alias("w"))
         jumped = stored(now.join(up, "v", "left").select("u", F.coalesce("w", "v").alias("v"), F.col("w").isNotNull().alias("moved")), "forest")
-        now = jumped.select("u", "v")
+        discard(now)
         if jumped.where("moved").isEmpty():
             break
+        now = jumped.select("u", "v")
+        now._stored_at = jumped._stored_at
+    now = jumped.select("u", "v")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

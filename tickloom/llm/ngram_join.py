@@ -8,9 +8,12 @@ text: one row per row of the table, never the pairs of a group.
    fingerprints) with one other node, so nodes with too few repeated ones are dropped; four in ten of the shingles travel.
 2. The sets of the nodes left are ordered by global frequency, rarest first; shingles of one node only are counted,
    not kept. A node with too few shared shingles is dropped.
-3. Nodes that share a prefix shingle fall into one candidate cluster (components of star edges, so no pairs are made).
-   Clusters of up to `BLOCK` nodes are one task; larger ones are dealt in blocks: every block against a first hub block,
-   then every node outside the cluster's main component against all blocks. A block has at most a few hundred nodes.
+3. The first common shingle of two linked nodes stands so early in both that enough shingles follow: in the smaller one's
+   index prefix (a partner is as large or larger) and in the larger one's prefix. Nodes that share such a shingle fall into
+   one candidate cluster (components of star edges, so no pairs are made); a shingle that very many texts have, but none
+   of them in its index prefix, makes no cluster. Clusters of up to `BLOCK` nodes are one task; larger ones are dealt in
+   blocks: every block against a first hub block, then every node outside the cluster's main component against all blocks.
+   A block has at most a few hundred nodes.
 4. A task holds its ordered sets in a prefix tree (sequences in lexicographic order with the lengths of common prefixes). A
    query walks the leaves it shares a prefix shingle with; the overlap of a common path is counted once, a subtree is
    left when overlap and remaining length cannot reach what is needed, and leaves already connected are passed by.
@@ -26,21 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
 from .components import components
-from .spark_io import discard, has_key, ids_and_texts, key_bitmap, map_batches, stored
+from .key_filter import bitmap_of
+from .spark_io import discard, ids_and_texts, map_batches, stored
 
 #: Two sets link from this many hundredths on.
 LEAST = 75
 #: Share of a set that step 1 sends beyond the plain prefix, so that one common passage is not enough to stay.
 EXTRA = 0.15
-#: Nodes of a candidate cluster in one block, and bits of the map that tells the second scan which nodes are left.
+#: Nodes of a candidate cluster in one block.
 BLOCK = 96
-BITMAP_BITS = 1 << 23
 
 
 def least_overlap(n, least: int = LEAST):
@@ -93,13 +97,18 @@ def first_shingles(rows: DataFrame, size: int, least: int, extra: float) -> Data
 
 
 def full_sets(rows: DataFrame, alive: DataFrame, size: int) -> DataFrame:
-    """node, n, tokens of the nodes in alive (node, rep), each once."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(key_bitmap(alive.select(F.col("node").alias("key")), BITMAP_BITS))
+    """node, n, tokens of the nodes in alive (node, rep), each once.
+
+    Texts are told by a bitmap of nodes; where that would be too large, those whose id names a node are joined first.
+    """
+    bitmap = rows.sparkSession.sparkContext.broadcast(bitmap_of(alive.select(F.col("node").alias("key")), alive.count()))
+    if bitmap.value is None:
+        rows = rows.join(alive, rows["doc_id"].eqNullSafe(alive["rep"]), "left_semi")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc_id")
         for lo, _, n, at, h, node in sets_of(batch.column("text"), size):
-            maybe = np.flatnonzero(has_key(bitmap.value, node, BITMAP_BITS) & (n > 0))
+            maybe = np.flatnonzero((bitmap.value.has(node) if bitmap.value else True) & (n > 0))
             if len(maybe):
                 ends = np.concatenate([[0], np.cumsum(n[maybe])])
                 tokens = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(K.gather(h, at[maybe], n[maybe]).view(np.int64)))
@@ -128,11 +137,12 @@ def prefix_length(size: int, n: int, least: int) -> int:
 
 
 def clusters(ordered: DataFrame, least: int) -> DataFrame:
-    """node, cluster: nodes that share prefix shingles, directly or through others."""
-    keep = F.greatest(F.lit(0), F.size("tokens") - least_overlap_column(F.col("n"), least) + 1).cast("int")
-    prefix = ordered.select("node", F.explode(F.slice("tokens", F.lit(1), keep)).alias("token"))
-    hubs = stored(prefix.groupBy("token").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").select("token", "hub"), "ngram-hubs")
-    edges = prefix.join(hubs, "token").select(F.col("node").alias("u"), F.col("hub").alias("v")).where("u <> v").distinct()
+    """node, cluster: nodes that share a shingle which may be the first common one of a linked pair, directly or through others."""
+    n, size = F.col("n"), F.size("tokens")
+    of_equals = F.ceil((n * F.lit(2 * least)) / F.lit(100.0 + least) - F.lit(1e-9))  # the overlap that two sets of n need
+    early = lambda need: ordered.select("node", F.explode(F.slice("tokens", F.lit(1), F.greatest(F.lit(0), size - need + 1).cast("int"))).alias("token"))
+    hubs = stored(early(of_equals).groupBy("token").agg(F.min("node").alias("hub")), "ngram-hubs")
+    edges = early(least_overlap_column(n, least)).join(hubs, "token").select(F.col("node").alias("u"), F.col("hub").alias("v")).where("u <> v").distinct()
     return components(edges).select("node", F.col("root").alias("cluster"))
 
 
@@ -289,20 +299,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     placed = listed.join(copies, "node").select("doc_id", "node", "root")
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node")).alias("first"), F.count("*").alias("c")).where("c > 1")
     other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node")))
-    gone = stored(placed.join(first, "root").where(other).select(F.col("doc_id").alias("__id"), F.col("node").alias("__gone")).distinct(), "ngram-gone")
-    columns = docs.columns
-    marked = with_node(docs, text_col)
-    kept = marked.join(gone, marked[id_col].cast("long").eqNullSafe(gone["__id"]) & (marked["__node"] == gone["__gone"]), "left_anti")
-    kept = kept.withColumn("__same", F.coalesce(F.col("__node"), F.xxhash64(F.col(text_col).cast("string"))))
-    return kept.dropDuplicates([id_col, "__same"]).select(*columns)
+    gone = stored(placed.join(first, "root").where(other).select(F.col("doc_id").alias("gone_id"), F.col("node").alias("gone_node")).distinct(), "ngram-gone")
+    marked = with_node(docs, id_col, text_col)
+    kept = marked.join(gone, marked["id"].eqNullSafe(gone["gone_id"]) & (marked["node"] == gone["gone_node"]), "left_anti")
+    return kept.dropDuplicates(["id", "same"]).select("row.*")
 
 
-def with_node(docs: DataFrame, text_col: str, size: int = 5) -> DataFrame:
-    """docs and the column __node: the fingerprint of the row's set, null for an empty one."""
-    text = docs.withColumn("__words", F.col(text_col).cast("string"))
+def with_node(docs: DataFrame, id_col: str, text_col: str, size: int = 5) -> DataFrame:
+    """row (all columns of docs), id, node (the fingerprint of the row's set, null for an empty one) and same (the node or, of an empty set, the text's hash)."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("same"), text.alias("text"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        nodes = [pa.array(node.view(np.int64), mask=n == 0) for _, _, n, _, _, node in sets_of(batch.column("__words"), size)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.concat_arrays(nodes)], [*batch.schema.names[:-1], "__node"])
+        nodes = pa.concat_arrays([pa.array(node.view(np.int64), mask=n == 0) for _, _, n, _, _, node in sets_of(batch.column("text"), size)])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), nodes, pc.coalesce(nodes, batch.column("same"))], ["row", "id", "node", "same"])
 
-    return map_batches(text, run, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+    long = lambda name: T.StructField(name, T.LongType())
+    return map_batches(rows, run, T.StructType([T.StructField("row", docs.schema), long("id"), long("node"), long("same")]))

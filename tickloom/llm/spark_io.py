@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,28 +16,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`. Only where all run in one process may it be unset."""
     here = spark.conf.get("spark.checkpoint.dir", None)
-    if not here:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if at.isDefined():
-            return at.get()
-        here = tempfile.mkdtemp(prefix="tickloom-")
-        spark.sparkContext.setCheckpointDir(here)
+    if here:
         return here
+    at = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if at.isDefined():
+        return at.get()
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    here = tempfile.mkdtemp(prefix="tickloom-")
+    spark.sparkContext.setCheckpointDir(here)
     return here
 
 
+def own_dir(spark: SparkSession) -> str:
+    """Where this application keeps what it stores."""
+    return f"{shared_dir(spark).rstrip('/')}/tickloom/{spark.sparkContext.applicationId}"
+
+
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage is cut and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
+def clear(spark: SparkSession) -> None:
+    """Deletes all that this application has stored; results that have not been written elsewhere can no longer be read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes what `stored` wrote, once nothing reads it any more."""
     for df in frames:
@@ -73,38 +85,3 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
-
-
-#: Words of a bitmap that travel to the driver as one row.
-SEGMENT = 4096
-
-
-def key_bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap (uint32 words) with the bit `key mod bits` set for every value of the long column `key`.
-
-    Its size is fixed by `bits`, a power of two, whatever the number of keys: a full bitmap lets everything pass. Words
-    are combined by Spark; at most bits / 32 / SEGMENT rows of 16 KB reach the driver.
-    """
-    at = F.col("key").bitwiseAND(F.lit(bits - 1))
-    words = keys.where("key is not null").select(F.shiftright(at, 5).alias("word"), at.bitwiseAND(F.lit(31)).cast("int").alias("k")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("b"))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            word, b = (batch.column(c).to_numpy() for c in ("word", "b"))
-            for s in np.unique(word // SEGMENT).tolist():
-                own = word // SEGMENT == s
-                held.setdefault(s, np.zeros(SEGMENT, np.uint32))[word[own] % SEGMENT] |= b[own].astype(np.uint32)
-        if held:
-            yield pa.RecordBatch.from_pydict({"s": pa.array(list(held), pa.int64()), "data": pa.array([x.tobytes() for x in held.values()], pa.binary())})
-
-    out = np.zeros(max(SEGMENT, bits // 32), np.uint32)
-    packed = words.repartition(F.floor(F.col("word") / F.lit(SEGMENT))).mapInArrow(gather, "s long, data binary")
-    for r in packed.collect():
-        out[r["s"] * SEGMENT : (r["s"] + 1) * SEGMENT] |= np.frombuffer(r["data"], np.uint32)
-    return out
-
-
-def has_key(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    at = keys.view(np.uint64) & np.uint64(bits - 1)
-    return (bitmap[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
