@@ -356,7 +356,7 @@ def test_many_copies_and_columns_of_any_name(spark):
     assert kept.columns == df.columns
     found = {x["doc_id"]: x for x in kept.collect()}
     assert all(found[k]["text"] == "" and found[k]["node"] == k and found[k]["all"] == [k] and found[k]["__spans"] == 2 for k in range(3000))
-    assert all(passage not in found[k]["text"] and found[k]["text"].endswith(texts[k][-6:]) for k in range(3000, 3050))
+    assert all(passage[3:-3] not in found[k]["text"] and len(found[k]["text"]) < 20 for k in range(3000, 3050))
     assert all(found[k]["text"] == texts[k] for k in range(3050, 3100))
 
 
@@ -391,10 +391,19 @@ def test_quality_rules(docs, rows):
     assert quality_rules.filter_quality(docs).columns == docs.columns
 
 
+def test_marks_of_lines_and_letters():
+    texts = ["- a\n * b\n\n• c\nd", "x...\ny…  \n z ..\n…", "12 34 é5 -- a1", ""]
+    t = quality_rules.Texts(*next(iter(kernels.text_chunks(__import__("pyarrow").array(texts))))[2:])
+    assert [x.tolist() for x in t.line_marks] == [[3, 0, 0, 0], [0, 3, 0, 0]]
+    assert t.lettered.tolist() == [5, 4, 2, 0] and t.line_counts[0].tolist() == [4, 4, 1, 0]
+    part = t.only(np.array([False, True, True, False]))
+    assert part.lettered.tolist() == [4, 2] and part.line_marks[1].tolist() == [3, 0] and part.n_words.tolist() == [5, 5]
+
+
 def test_cascade_order_does_not_matter():
-    t = quality_rules.Texts(*next(iter(kernels.text_chunks(__import__("pyarrow").array(["a b", "x " * 50, " ".join(map(str, range(100, 160))), "# " * 40]))))[2:])
+    t = quality_rules.Texts(*next(iter(kernels.text_chunks(__import__("pyarrow").array(["a b", "x " * 50, " ".join(f"w{k}" for k in range(60)), "# " * 40, " ".join(map(str, range(100, 160)))]))))[2:])
     verdicts = {tuple(quality_rules.cascade(t, tuple(order)).tolist()) for order in (quality_rules.RULES, quality_rules.RULES[::-1])}
-    assert verdicts == {(False, False, True, False)}
+    assert verdicts == {(False, False, True, False, False)}
 
 
 def test_classifier_on_held_out_rows(spark):
@@ -415,18 +424,82 @@ def test_classifier_on_held_out_rows(spark):
     assert classifier.fit(docs, labels.where("quality = 1")).only == 1.0 and classifier.fit(docs, labels.limit(0)).only == 0.5
 
 
-def test_packing(docs, rows):
-    items = packing.best_fit(docs, capacity=256, shard_items=20).collect()
+def plain_scores(x, y, points, shrink=0.2, ridge=1e-3):
+    """Quadratic discriminant analysis by its formulas: densities of two normal distributions, no factors kept."""
+    mean = {c: x[y == c].mean(0) for c in (0, 1)}
+    cov = {c: np.cov(x[y == c].T, bias=True) for c in (0, 1)}
+    share = {c: float((y == c).mean()) for c in (0, 1)}
+    pooled = share[0] * cov[0] + share[1] * cov[1]
+    spread = np.diag(np.maximum(np.diag(pooled), 1e-6))
+    log_density = {}
+    for c in (0, 1):
+        n, d = int((y == c).sum()), x.shape[1]
+        weight = shrink + (1 - shrink) * d / (d + n)
+        s = (1 - weight) * cov[c] + weight * (0.9 * pooled + 0.1 * spread) + ridge * spread
+        diff = points - mean[c]
+        log_density[c] = -0.5 * np.einsum("ij,ij->i", diff, np.linalg.solve(s, diff.T).T) - 0.5 * np.linalg.slogdet(s)[1] + np.log(share[c])
+    return 1 / (1 + np.exp(log_density[0] - log_density[1]))
+
+
+def test_classifier_equals_plain_discriminant_analysis(docs, rows):
+    named = {r[0]: r[1] for r in rows if r[0] is not None}
+    y = {k: int(k % 3 > 0) for k in named}
+    labels = docs.sparkSession.createDataFrame(list(y.items()), "doc_id long, quality int")
+    some = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    model = classifier.fit(some, labels)
+    found = {r["doc_id"]: r for r in classifier.score(some, model).collect()}
+    x = np.concatenate([classifier.vectors(quality_rules.Texts(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))) for t in (named[k] or "" for k in sorted(named))])
+    want = plain_scores(x, np.array([y[k] for k in sorted(named)]), x)
+    assert np.allclose([found[k]["score"] for k in sorted(named)], want, atol=1e-9)
+    assert all(found[k]["predicted"] == int(found[k]["score"] >= 0.5) for k in named)
+    kept = classifier.keep_good(docs, model)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} - {None} == {k for k in named if found[k]["score"] >= 0.5}
+
+
+@pytest.mark.parametrize("vocabulary", [None, "byte_bpe_50k.json"])
+def test_packing(docs, rows, vocabulary):
+    path = vocabulary and public_tokenizers.path(vocabulary)
+    count = (lambda t: len(tokenizers.Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids)) if path else (lambda t: len(WORD.findall(t)))
+    items = packing.best_fit(docs, capacity=256, shard_items=20, vocabulary=path).collect()
     bins = {}
     for x in items:
         bins.setdefault(x["bin_id"], []).append(x)
     for held in bins.values():
         assert sum(x["n_tokens"] for x in held) <= 256
         assert len({x["source"] for x in held}) == len(held) == len({x["cluster"] for x in held})
-    words = Counter()
+    tokens = Counter()
     for r in rows:
-        words[r[0]] += len(WORD.findall(r[1] or "")) + 1
-    assert words == sum((Counter({x["doc_id"]: x["n_tokens"]}) for x in items), Counter())
+        tokens[r[0]] += count(r[1] or "") + 1
+    assert tokens == sum((Counter({x["doc_id"]: x["n_tokens"]}) for x in items), Counter())
+    assert len({x["item"] for x in items}) == len(items)
+
+
+def test_packing_equals_plain_best_fit_step_by_step():
+    """At each step the room of the bin that was taken is that of plain best fit, given the bins so far."""
+    r = np.random.default_rng(11)
+    for _ in range(40):
+        n, capacity = int(r.integers(1, 60)), 30
+        length = np.sort(r.integers(1, capacity + 1, n))[::-1].copy()
+        source, cluster = r.integers(0, 6, n), r.integers(0, 25, n)
+        out = packing.pack(length, source, cluster, capacity)
+        bins = {}
+        for k in range(n):
+            fit = [b for b, x in bins.items() if x["room"] >= length[k] and source[k] not in x["sources"] and cluster[k] not in x["clusters"]]
+            if fit:
+                assert out[k] in fit and bins[out[k]]["room"] == min(bins[b]["room"] for b in fit)
+            else:
+                assert out[k] not in bins
+            x = bins.setdefault(out[k], {"room": capacity, "sources": set(), "clusters": set()})
+            x["room"] -= length[k]
+            x["sources"].add(source[k])
+            x["clusters"].add(cluster[k])
+
+
+def test_packing_of_very_many_equal_rows_and_counts_of_a_column(spark):
+    df = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same text").alias("text"), F.lit("s").alias("source"), F.lit(9).alias("n"))
+    items = packing.best_fit(df, capacity=32, shard_items=100, tokens_col="n").collect()
+    assert len(items) == len({x["bin_id"] for x in items}) == 3000 and {x["n_tokens"] for x in items} == {10}
+    assert len({x["bin_id"] >> 24 for x in items}) > 20
 
 
 def test_packing_keeps_near_copies_apart_by_a_cluster_column(docs):
@@ -490,6 +563,6 @@ def test_empty_tables(empty, spark):
     results = [
         ngram_join.link_components(empty), ngram_join.keep_one(empty), token_files.read_token_shards(token_files.write_token_shards(empty, byte)), license_scan.license_scan(empty),
         substrings.remove_repeats(empty), substrings.keep_unrepeated(empty), token_files.count_tokens(blocks, 50256), listed, classifier.score(empty, classifier.fit(empty, labels)),
-        quality_rules.quality_report(empty), quality_rules.filter_quality(empty), packing.best_fit(empty), media.media_report(empty), bpe.encode_decode(empty, word),
+        quality_rules.quality_report(empty), quality_rules.filter_quality(empty), classifier.keep_good(empty, classifier.fit(empty, labels)), packing.best_fit(empty), media.media_report(empty), bpe.encode_decode(empty, word),
     ]
     assert [df.count() for df in results] == [0] * len(results)

@@ -136,10 +136,11 @@ def score(docs: DataFrame, model: Discriminant, id_col: str = "doc_id", text_col
 
 
 def keep_good(docs: DataFrame, model: Discriminant, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns as they are, whose text scores at least `least`."""
+    """The rows of docs, all columns as they are, whose text scores at least `least`; null and empty texts are scored like others."""
+    place = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        s = np.concatenate([model.scores(vectors(Texts(buf, off))) for _, _, buf, off in K.text_chunks(batch.column(text_col))])
+        s = np.concatenate([model.scores(vectors(Texts(buf, off))) for _, _, buf, off in K.text_chunks(batch.column(place).cast(pa.string()))])
         yield batch.filter(pa.array(s >= least))
 
     return map_batches(docs, run, docs.schema)

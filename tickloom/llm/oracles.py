@@ -35,13 +35,16 @@ x AS (SELECT r, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) > 7),
 g AS (SELECT r, i, count(*) OVER (PARTITION BY r, list_slice(w, i, i + 7)) AS c FROM x),
 rep AS (SELECT r, count(DISTINCT i + k) AS n FROM g, range(8) AS o(k) WHERE c > 1 GROUP BY r),
 l AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d),
-ln AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup FROM l WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+ln AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup, count(*) FILTER (regexp_matches(l, '^[\x20\x09-\x0D]*([-*]|•)')) AS n_bullets,
+              count(*) FILTER (regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*$')) AS n_ellipses FROM l WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
 s AS (SELECT w.r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) AS BIGINT) AS word_chars,
-             CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+             CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+             len(list_filter(w, lambda y: regexp_matches(y, '[A-Za-z]|[^\x00-\x7F]'))) AS n_lettered, coalesce(n_bullets, 0) AS n_bullets, coalesce(n_ellipses, 0) AS n_ellipses
       FROM w LEFT JOIN ln USING (r) LEFT JOIN rep USING (r)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept FROM b"""
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 10 * n_lettered < 6 * n_words OR 10 * n_bullets > 9 * n_lines OR 10 * n_ellipses > 3 * n_lines) AS kept FROM b"""
 
 
 def oracle_sql() -> dict[str, str]:

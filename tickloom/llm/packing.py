@@ -1,6 +1,7 @@
 """Conflict-constrained best-fit packing of documents into bins of a fixed number of tokens.
 
-A token here is a white-space word, and one more is the end of each document; no tokenizer is asked.
+Tokens are the ids of a byte-level vocabulary, or what a column says, or else white-space words; one more is the end of
+each document.
 
 Documents are dealt by a hash of their id to shards of about `SHARD` items, whatever the number of documents, and each
 shard is packed alone: longest first, each item into the tightest bin that has room and neither its duplicate
@@ -13,7 +14,8 @@ A document longer than a bin is cut: full pieces have bins of their own, the res
 every document is in exactly one bin.
 
 Defined results: a null or empty text has one token, its end; a null source is a source of its own; rows with equal ids stay
-separate items, told apart by `piece` only if their texts differ; an empty table gives an empty result.
+separate items, told apart by `item`; rows equal in id and text go to shards of their own, however many they are; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .encode import byte_encoder
 from .spark_io import map_batches, stored
 
 CAPACITY, SHARD = 2048, 4000
@@ -69,15 +72,22 @@ def pack(length: np.ndarray, source: np.ndarray, cluster: np.ndarray, capacity:
     return out
 
 
-def items_of(docs: DataFrame, id_col: str, text_col: str, source_col: str, capacity: int, cluster_col: str | None = None) -> DataFrame:
-    """doc_id, source, cluster, piece, start, n_tokens: words and the end of each document, in pieces of up to a bin."""
+def counted(texts: pa.Array, vocabulary: str | None) -> np.ndarray:
+    """Ids of each text, or words without a vocabulary."""
+    count = (lambda buf, off: byte_encoder(vocabulary)(buf, off)[1]) if vocabulary else (lambda buf, off: K.per_text(K.words(buf, off)[2], len(off) - 1))
+    return np.concatenate([count(buf, off) for _, _, buf, off in K.text_chunks(texts)])
+
+
+def items_of(docs: DataFrame, id_col: str, text_col: str, source_col: str, capacity: int, cluster_col: str | None = None, vocabulary: str | None = None, tokens_col: str | None = None) -> DataFrame:
+    """doc_id, source, cluster, piece, start, n_tokens: the tokens and the end of each document, in pieces of up to a bin."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = F.xxhash64(text)
     cluster = F.coalesce(F.col(cluster_col).cast("long"), same) if cluster_col else same
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"), text.alias("text"))
+    known = F.coalesce(F.col(tokens_col).cast("long"), F.lit(0)) if tokens_col else text
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"), known.alias("known"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        n = np.concatenate([K.per_text(K.words(buf, off)[2], hi - lo) for lo, hi, buf, off in K.text_chunks(batch.column("text"))]) + 1
+        n = 1 + (batch.column("known").to_numpy() if tokens_col else counted(batch.column("known"), vocabulary))
         count = -(-n // capacity)
         k = np.repeat(np.arange(len(n)), count)
         piece = np.arange(len(k)) - np.repeat(np.cumsum(count) - count, count)
@@ -88,20 +98,29 @@ def items_of(docs: DataFrame, id_col: str, text_col: str, source_col: str, capac
     return map_batches(rows, run, "doc_id long, source string, cluster long, piece long, start long, n_tokens long")
 
 
-def best_fit(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_items: int = SHARD, distinct_sources: bool = True, cluster_col: str | None = None) -> DataFrame:
-    """bin_id, doc_id, piece, start, n_tokens, source, cluster of every piece of every document.
+def dealt(items: DataFrame, shards: int) -> DataFrame:
+    """items with their shard, by what an item is; of items that are equal in that, by their number."""
+    key = ["doc_id", "piece", "cluster"]
+    again = items.groupBy(*key).agg(F.count("*").alias("copies")).where("copies > 1")
+    same = [items[c].eqNullSafe(again[c]) for c in key]
+    marked = items.join(again, same[0] & same[1] & same[2], "left").select(items["*"], F.when(F.col("copies") > 1, items["item"]).otherwise(F.lit(0)).alias("salt"))
+    return marked.withColumn("shard", F.pmod(F.xxhash64(*key, "salt"), F.lit(shards))).drop("salt")
+
+
+def best_fit(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_items: int = SHARD, distinct_sources: bool = True, cluster_col: str | None = None, vocabulary: str | None = None, tokens_col: str | None = None) -> DataFrame:
+    """bin_id, item, doc_id, piece, start, n_tokens, source, cluster of every piece of every document.
 
-    Without `cluster_col` only equal texts are a cluster; with it (the component_id of the n-gram join, say) what it names.
+    `vocabulary`: the file of a byte-level tokenizer that counts, `tokens_col`: a column of counts. Without `cluster_col` only equal texts are a cluster; with it (the component_id of the n-gram join, say) what it names.
     """
-    items = stored(items_of(docs, id_col, text_col, source_col, capacity, cluster_col), "packing-items")
+    items = items_of(docs, id_col, text_col, source_col, capacity, cluster_col, vocabulary, tokens_col)
+    items = stored(items.withColumn("item", F.monotonically_increasing_id()), "packing-items")
     shards = max(1, -(-items.count() // shard_items))
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("cluster", "ascending"), ("source", "ascending")])
+        table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("cluster", "ascending"), ("source", "ascending"), ("item", "ascending")])
         source = table.column("source").combine_chunks().dictionary_encode()
         codes = source.indices.fill_null(len(source.dictionary)).to_numpy(zero_copy_only=False)
         bins = pack(table.column("n_tokens").to_numpy(), codes, table.column("cluster").to_numpy(), capacity, distinct_sources)
-        return table.select(["doc_id", "piece", "start", "n_tokens", "source", "cluster"]).add_column(0, "bin_id", pa.array((table.column("shard")[0].as_py() << 24) + bins))
+        return table.select(["item", "doc_id", "piece", "start", "n_tokens", "source", "cluster"]).add_column(0, "bin_id", pa.array((table.column("shard")[0].as_py() << 24) + bins))
 
-    return dealt.groupBy("shard").applyInArrow(run, "bin_id long, doc_id long, piece long, start long, n_tokens long, source string, cluster long")
+    return dealt(items, shards).groupBy("shard").applyInArrow(run, "bin_id long, item long, doc_id long, piece long, start long, n_tokens long, source string, cluster long")

@@ -56,7 +56,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit(table(spark, sf_dir, "documents"))
+    """Bins of 2048 ids; `item` only tells equal rows apart and depends on how the input is split, so it stays out."""
+    return best_fit(table(spark, sf_dir, "documents"), vocabulary=public_tokenizers.path("byte_bpe_50k.json")).drop("item")
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
