@@ -6,6 +6,7 @@ stage's docs; all but the last return the columns of documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents: one row for each piece, with its bin."""
-    return packing.best_fit(docs)
+    """Packs the documents into bins of 2048 token ids: one row for each piece, with its bin."""
+    return packing.best_fit(docs, vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("quality_rules", rules), ("quality_classifier", quality), ("ngram_jaccard", near_duplicates), ("suffix_array_dedup", repeated_passages), ("best_fit_packing", packed)]
