@@ -516,17 +516,50 @@ def test_packing_takes_the_tightest_compatible_bin():
     assert packing.pack(np.array([6, 4]), np.array([0, 0]), np.array([1, 2]), 10, distinct_sources=False).tolist() == [0, 0]
 
 
-@pytest.mark.parametrize("bits", [8, 22])
-def test_media(docs, rows, monkeypatch, bits):
-    monkeypatch.setattr(media, "BITMAP_BITS", 1 << bits)
+def plain_features(p):
+    """By hand: a WAV file read by the standard library, and its samples one by one."""
+    import io
+    import math
+    import wave
+
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(1)
+        w.setframerate(8000)
+        w.writeframes(p)
+    v = [x - 128 for x in p]
+    turns = sum((a < 0) != (b < 0) for a, b in zip(v, v[1:]))  # noqa: B905
+    bins = [sum(32 * k <= x < 32 * k + 32 for x in p) for k in range(8)]
+    return out.getvalue(), f"mean={sum(v) / len(v):.6f};rms={math.sqrt(sum(x * x for x in v) / len(v)):.6f};turns={turns};bins={','.join(map(str, bins))}"
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_media(docs, rows, monkeypatch, limit):
+    monkeypatch.setattr(key_filter, "LIMIT_BITS", limit)
     want = []
     for r in rows:
         b = (r[1] or "").encode()
         p = b + bytes(max(64, -(-len(b) // 64) * 64) - len(b))
-        want.append((r[0], len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(p) + 44, hashlib.sha256(media.wav_header(len(p)) + p).hexdigest(), media.features(p)))
+        file, feature = plain_features(p)
+        want.append((r[0], len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(file), hashlib.sha256(file).hexdigest(), feature))
     assert got(media.media_report(docs), "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature") == sorted(want, key=str)
 
 
+def test_lost_and_changed_chunks_are_errors(docs):
+    stores = media.store_media(docs)
+    assert stores["chunk"].count() > 0 and stores["medium"].where(~F.exists("own", lambda x: x.isNull())).count() > 0
+    n = media.read_media(stores).dropDuplicates(["media_sha256"]).count()
+    lacking = media.read_media(stores | {"chunk": stores["chunk"].limit(0)})
+    with pytest.raises(Exception, match="not in the store"):
+        lacking.collect()
+    zstandard = pytest.importorskip("zstandard")
+    other = F.lit(zstandard.ZstdCompressor().compress(b"other bytes"))
+    with pytest.raises(Exception, match="digest"):
+        media.read_media(stores | {"chunk": stores["chunk"].withColumn("data", other)}).collect()
+    assert n == stores["manifest"].select("media_sha256").distinct().count()
+
+
 def test_media_chunks_are_content_defined():
     r = np.random.default_rng(1)
     body = r.integers(0, 256, 60_000, dtype=np.uint8)

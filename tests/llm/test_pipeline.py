@@ -9,6 +9,9 @@ import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
+import public_tokenizers  # noqa: E402
+from tokenizers import Tokenizer  # noqa: E402
+
 from .test_operators import WORD, slow_components  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
@@ -36,7 +39,13 @@ def accepted(text):
     twice = Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
     covered = {j for k in range(len(w) - 7) if twice[tuple(w[k : k + 8])] > 1 for j in range(k, k + 8)}
     lines, chars = [x for x in text.split("\n") if WORD.search(x)], sum(map(len, w))
-    return len(w) >= 20 and 100 * len(covered) <= 30 * len(w) and 10 * len(re.findall(r"[#*$%&|<>]", text)) <= len(w) and 2 * (len(lines) - len(set(lines))) <= len(lines) and 2 * len(w) <= chars <= 15 * len(w)
+    return len(w) >= 20 and 100 * len(covered) <= 30 * len(w) and 10 * len(re.findall(r"[#*$%&|<>]", text)) <= len(w) and 2 * (len(lines) - len(set(lines))) <= len(lines) and 2 * len(w) <= chars <= 15 * len(w) and marked(w, lines)
+
+
+def marked(w, lines):
+    bullets = sum(x.lstrip("\x20\t\n\v\f\r").startswith(("-", "*", "•")) for x in lines)
+    ellipses = sum(x.rstrip("\x20\t\n\v\f\r").endswith(("...", "…")) for x in lines)
+    return 10 * sum(bool(re.search(r"[A-Za-z]|[^\x00-\x7f]", x)) for x in w) >= 6 * len(w) and 10 * bullets <= 9 * len(lines) and 10 * ellipses <= 3 * len(lines)
 
 
 def test_rules(steps):
@@ -74,11 +83,12 @@ def test_repeated_passages(steps):
 
 def test_packing(steps):
     before, items = steps["best_fit_packing"]
-    words, room = Counter(), Counter()
+    tokens, room = Counter(), Counter()
     for x in items:
-        words[x["doc_id"]] += x["n_tokens"]
+        tokens[x["doc_id"]] += x["n_tokens"]
         room[x["bin_id"]] += x["n_tokens"]
-    assert words == {k: len(WORD.findall(t)) + 1 for k, t in before.items()} and max(room.values()) <= 2048
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokens == {k: len(t.encode(x, add_special_tokens=False).ids) + 1 for k, x in before.items()} and max(room.values()) <= 2048
 
 
 def test_run_is_the_stages_in_order(spark, steps):

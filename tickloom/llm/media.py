@@ -2,18 +2,19 @@
 
 The payload of a row (its bytes, zero-padded to a positive multiple of 64) is stored as 8-bit mono PCM in a WAV file, so that
 one sample is one byte. The samples are cut where a rolling gear hash has its low bits zero; a chunk is known by its
-SHA-256. Chunks seen once stay with their medium and are stored as the rows are scanned, without a shuffle. Chunks seen
-more often are stored once: Spark groups the digests, and the bytes of such chunks meet by digest. What may be shared is
-told to the scan by a bitmap of digests of fixed size (`BITMAP_BITS`); a full bitmap costs shuffling, never results.
+SHA-256. Every medium is an ordered list of chunk digests, from which it is rebuilt. Chunks seen once are kept beside the
+list, as the rows are scanned and without a shuffle. Chunks seen more often are stored once: Spark groups the digests, and
+the bytes of such chunks meet by digest. What may be shared is told to the scan by a bitmap that grows with the number of
+shared digests; beyond `key_filter.LIMIT_BITS` every chunk counts as shared, which costs shuffling, never results.
 
 Stores (Parquet, in the shared folder):
-    manifest   doc_id, n_bytes, media_sha256, digests (the ordered chunk list), lengths
-    whole      media_sha256, data                  media none of whose chunks is shared
-    part       media_sha256, place, data           unshared chunks of other media
+    manifest   doc_id, n_bytes, media_sha256, digests (the ordered chunk list)
+    medium     media_sha256, digests, own          own: the bytes of each chunk of the list, null for shared ones
     chunk      digest, data                        shared chunks, each once
 
-Reading rebuilds each distinct medium from its ordered chunk list, checks its SHA-256 and computes the features from
-the samples read. Rows with equal bytes share one medium, so they have equal values.
+Reading takes each chunk of a list from `own` or from `chunk`, checks its SHA-256, joins them in order, checks the medium's
+SHA-256 and computes the features from the samples read. Rows with equal bytes share one medium, so they have equal values;
+a medium that cannot be rebuilt is an error.
 
 Defined results: null and empty texts are a payload of 64 zero bytes; repeated rows and ids each keep a row; an empty
 table gives an empty result.
@@ -33,12 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .spark_io import ids_and_texts, map_batches, stored
+from .key_filter import Bitmap, bitmap_of
+from .spark_io import discard, ids_and_texts, map_batches, stored
 
 UNIT, RATE = 64, 8000
 #: A cut needs so many low bits of the gear hash to be zero; no chunk but the last is shorter, and none longer.
 CUT_BITS, SHORTEST, LONGEST = 11, 512, 16384
-BITMAP_BITS = 1 << 22
 #: The gear value of each byte; a cut looks at low bits only, which the low 16 bits of the hash decide.
 GEAR = np.random.default_rng(7).integers(0, 1 << 16, 256).astype(np.uint16)
 
@@ -106,7 +107,13 @@ def features(samples: bytes) -> str:
     return f"mean={v.mean():.6f};rms={np.sqrt((v * v).mean()):.6f};turns={turns};bins={','.join(map(str, bins))}"
 
 
-def row_of(media: bytes, key: str) -> dict:
+def row_of(key: str, chunks: list[tuple[bytes, bytes]]) -> dict:
+    """What is read of the medium with this digest, from (digest, bytes) of its ordered chunks."""
+    for digest, data in chunks:
+        if hashlib.sha256(data).digest() != digest:
+            raise ValueError(f"a stored chunk of {key} does not have its digest")
+    samples = b"".join(data for _, data in chunks)
+    media = wav_header(len(samples)) + samples
     if hashlib.sha256(media).hexdigest() != key:
         raise ValueError(f"the stored medium {key} does not have this digest")
     samples = wav_samples(media)
@@ -117,98 +124,93 @@ READ = pa.schema([("media_sha256", pa.string()), ("payload_bytes", pa.int64()),
 READ_SQL = "media_sha256 string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, feature string"
 
 
-def bit_of(digest: bytes, size: int) -> int:
-    return int.from_bytes(digest[:7], "little") % size
+def key_of(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
 
 
 def write_manifest(rows: DataFrame) -> DataFrame:
     def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, out = batch.column("doc_id"), {"doc_id": [], "n_bytes": [], "media_sha256": [], "digests": [], "lengths": []}
+        ids, out = batch.column("doc_id"), {"doc_id": [], "n_bytes": [], "media_sha256": [], "digests": []}
         for k, n, payload, ends in media_of(batch.column("text")):
-            parts = pieces(payload, ends)
-            for name, x in zip(out, (ids[k].as_py(), n, hashlib.sha256(wav_header(len(payload)) + payload).hexdigest(), [hashlib.sha256(p).digest() for p in parts], [len(p) for p in parts]), strict=True):
+            for name, x in zip(out, (ids[k].as_py(), n, hashlib.sha256(wav_header(len(payload)) + payload).hexdigest(), [hashlib.sha256(p).digest() for p in pieces(payload, ends)]), strict=True):
                 out[name].append(x)
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media_sha256", pa.string()), ("digests", pa.list_(pa.binary())), ("lengths", pa.list_(pa.int32()))]))
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media_sha256", pa.string()), ("digests", pa.list_(pa.binary()))]))
 
-    return stored(map_batches(rows, scan, "doc_id long, n_bytes long, media_sha256 string, digests array<binary>, lengths array<int>"), "media-manifest")
+    return stored(map_batches(rows, scan, "doc_id long, n_bytes long, media_sha256 string, digests array<binary>"), "media-manifest")
 
 
-def shared_bitmap(manifest: DataFrame) -> np.ndarray:
-    """A bit for each digest that more than one place of the table has; at most BITMAP_BITS / 64 words reach the driver."""
-    size = BITMAP_BITS
+def shared_digests(manifest: DataFrame) -> Bitmap | None:
+    """The digests that more than one place of the table has, or None if they are too many for a bitmap."""
     shared = manifest.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
 
-    def bits(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at = np.array([bit_of(x, size) for x in batch.column("digest").to_pylist()], np.int64)
-        yield pa.RecordBatch.from_pydict({"word": at >> 5, "bit": np.int64(1) << (at & 31)})
+    def keys(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([key_of(x) for x in batch.column("digest").to_pylist()], pa.int64())], ["key"])
+
+    found = stored(map_batches(shared.select("digest"), keys, "key long"), "media-shared")
+    out = bitmap_of(found, found.count())
+    discard(found)
+    return out
+
 
-    words = np.zeros(size // 32, np.int64)
-    for r in map_batches(shared.select("digest"), bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        words[r["word"]] = r["bits"]
-    return words
+OWN = pa.schema([("media_sha256", pa.string()), ("digests", pa.list_(pa.binary())), ("own", pa.list_(pa.binary())), ("chunk", pa.binary()), ("data", pa.binary())])
 
 
 def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, DataFrame]:
-    """Writes the four stores and returns them by name."""
+    """Writes the three stores and returns them by name."""
     rows = ids_and_texts(docs, id_col, text_col)
     manifest = write_manifest(rows)
-    shared = rows.sparkSession.sparkContext.broadcast(shared_bitmap(manifest).astype(np.uint32))
+    shared = rows.sparkSession.sparkContext.broadcast(shared_digests(manifest))
 
     def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """A row for each medium, and one for each chunk that may be shared (once for each batch)."""
         bitmap, press, out, seen, held = shared.value, zstandard.ZstdCompressor(level=3).compress, [], set(), 0
-        schema = pa.schema([("kind", pa.string()), ("key", pa.binary()), ("place", pa.int32()), ("data", pa.binary())])
         for _, _, payload, ends in media_of(batch.column("text")):
             parts = pieces(payload, ends)
             digests = [hashlib.sha256(p).digest() for p in parts]
-            at = [bit_of(d, 32 * len(bitmap)) for d in digests]
-            maybe = [bool(bitmap[x >> 5] >> np.uint32(x & 31) & np.uint32(1)) for x in at]
-            key = hashlib.sha256(wav_header(len(payload)) + payload).digest()
-            if not any(maybe):
-                out.append(("whole", key, 0, press(payload)))
-            else:
-                for k, (part, digest, often) in enumerate(zip(parts, digests, maybe, strict=True)):
-                    if not often:
-                        out.append(("part", key, k, press(part)))
-                    elif digest not in seen:
-                        seen.add(digest)
-                        out.append(("chunk", digest, 0, press(part)))
+            maybe = bitmap.has(np.array([key_of(d) for d in digests], np.int64)) if bitmap else np.ones(len(parts), bool)
+            if (key := hashlib.sha256(wav_header(len(payload)) + payload).hexdigest()) not in seen:
+                seen.add(key)
+                out.append((key, digests, [None if often else press(part) for part, often in zip(parts, maybe, strict=True)], None, None))
+            for part, digest in ((p, d) for p, d, often in zip(parts, digests, maybe, strict=True) if often and d not in seen):
+                seen.add(digest)
+                out.append((None, None, None, digest, press(part)))
             held += len(payload)
             if held > K.CHUNK:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), OWN, strict=True)], schema=OWN)
                 out, held = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), OWN, strict=True)], schema=OWN)
 
-    scanned = stored(map_batches(rows, scan, "kind string, key binary, place int, data binary"), "media-scan")
-    chunk = stored(scanned.where("kind = 'chunk'").groupBy(F.col("key").alias("digest")).agg(F.min("data").alias("data")), "media-chunks")
-    return {"manifest": manifest, "whole": scanned.where("kind = 'whole'").select(F.lower(F.hex("key")).alias("media_sha256"), "data"), "part": scanned.where("kind = 'part'").select(F.lower(F.hex("key")).alias("media_sha256"), "place", "data"), "chunk": chunk}
+    scanned = stored(map_batches(rows, scan, "media_sha256 string, digests array<binary>, own array<binary>, chunk binary, data binary"), "media-scan")
+    chunk = stored(scanned.where("chunk is not null").groupBy(F.col("chunk").alias("digest")).agg(F.min("data").alias("data")), "media-chunks")
+    return {"manifest": manifest, "medium": scanned.where("media_sha256 is not null").select("media_sha256", "digests", "own"), "chunk": chunk}
 
 
 def read_media(stores: dict[str, DataFrame]) -> DataFrame:
-    """One row for each distinct medium, rebuilt from the stored bytes, checked, and measured."""
-
-    def whole(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out, unpress = [], zstandard.ZstdDecompressor().decompress
-        for key, data in zip(batch.column("media_sha256").to_pylist(), batch.column("data"), strict=True):
-            samples = unpress(data.as_py())
-            out.append(row_of(wav_header(len(samples)) + samples, key))
-        yield pa.RecordBatch.from_pylist(out, READ)
+    """One row for each distinct medium, rebuilt from its chunk list, checked, and measured."""
 
-    def joined(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def rebuilt(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out, unpress = [], zstandard.ZstdDecompressor().decompress
-        for key, chunks in zip(batch.column("media_sha256").to_pylist(), batch.column("chunks"), strict=True):
-            samples = b"".join(unpress(x["data"]) for x in chunks.as_py())
-            out.append(row_of(wav_header(len(samples)) + samples, key))
+        for key, digests, data in zip(batch.column("media_sha256").to_pylist(), batch.column("digests"), batch.column("data"), strict=True):
+            if None in (chunks := data.as_py()):
+                raise ValueError(f"a chunk of {key} is not in the store")
+            out.append(row_of(key, [(d, unpress(x)) for d, x in zip(digests.as_py(), chunks, strict=True)]))
         yield pa.RecordBatch.from_pylist(out, READ)
 
-    listed = stores["manifest"].groupBy("media_sha256").agg(F.min("digests").alias("digests")).select("media_sha256", F.posexplode("digests").alias("place", "digest"))
-    shared = listed.join(stores["chunk"], "digest").select("media_sha256", "place", "data")
-    lists = shared.unionByName(stores["part"]).groupBy("media_sha256").agg(F.sort_array(F.collect_list(F.struct("place", "data"))).alias("chunks"))
-    rebuilt = map_batches(lists, joined, READ_SQL)
-    return map_batches(stores["whole"], whole, READ_SQL).unionByName(rebuilt)
+    # copies of a medium that lack no chunk are the same row, of which each task has one
+    medium, whole = stores["medium"], ~F.exists("own", lambda x: x.isNull())
+    alone = map_batches(medium.where(whole).select("media_sha256", "digests", F.col("own").alias("data")), rebuilt, READ_SQL)
+    once = medium.where(~whole).groupBy("media_sha256").agg(F.min("digests").alias("digests"), F.min("own").alias("own"))
+    places = once.select("media_sha256", "digests", F.posexplode(F.arrays_zip("digests", "own")).alias("place", "x")).select("media_sha256", "digests", "place", F.col("x.digests").alias("digest"), F.col("x.own").alias("data"))
+    own, lacking = places.where("data is not null"), places.where("data is null").drop("data").join(stores["chunk"], "digest", "left").select(places.columns)
+    joined = own.unionByName(lacking).groupBy("media_sha256").agg(F.min("digests").alias("digests"), F.transform(F.sort_array(F.collect_list(F.struct("place", "data"))), lambda x: x["data"]).alias("data"))
+    return alone.unionByName(map_batches(joined, rebuilt, READ_SQL))
 
 
 def media_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Stores the payload of every row, reads it back and gives each row what was read."""
     stores = store_media(docs, id_col, text_col)
-    return stores["manifest"].select("doc_id", "n_bytes", "media_sha256").join(stored(read_media(stores), "media-read"), "media_sha256", "left")
+    read = stored(read_media(stores).dropDuplicates(["media_sha256"]), "media-read")
+    lost = F.raise_error(F.concat(F.lit("a medium cannot be rebuilt: "), F.col("media_sha256"))).cast("long")
+    joined = stores["manifest"].select("doc_id", "n_bytes", "media_sha256").join(read, "media_sha256", "left")
+    return joined.withColumn("payload_bytes", F.coalesce("payload_bytes", lost))
