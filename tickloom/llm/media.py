@@ -197,20 +197,21 @@ def read_media(stores: dict[str, DataFrame]) -> DataFrame:
             out.append(row_of(key, [(d, unpress(x)) for d, x in zip(digests.as_py(), chunks, strict=True)]))
         yield pa.RecordBatch.from_pylist(out, READ)
 
-    # copies of a medium that lack no chunk are the same row, of which each task has one
-    medium, whole = stores["medium"], ~F.exists("own", lambda x: x.isNull())
-    alone = map_batches(medium.where(whole).select("media_sha256", "digests", F.col("own").alias("data")), rebuilt, READ_SQL)
-    once = medium.where(~whole).groupBy("media_sha256").agg(F.min("digests").alias("digests"), F.min("own").alias("own"))
-    places = once.select("media_sha256", "digests", F.posexplode(F.arrays_zip("digests", "own")).alias("place", "x")).select("media_sha256", "digests", "place", F.col("x.digests").alias("digest"), F.col("x.own").alias("data"))
-    own, lacking = places.where("data is not null"), places.where("data is null").drop("data").join(stores["chunk"], "digest", "left").select(places.columns)
-    joined = own.unionByName(lacking).groupBy("media_sha256").agg(F.min("digests").alias("digests"), F.transform(F.sort_array(F.collect_list(F.struct("place", "data"))), lambda x: x["data"]).alias("data"))
-    return alone.unionByName(map_batches(joined, rebuilt, READ_SQL))
+    # a chunk of its own is a chunk that no other place has, so only media of shared chunks alone have copies
+    medium, shared, own = stores["medium"], F.exists("own", lambda x: x.isNull()), F.exists("own", lambda x: x.isNotNull())
+    alone = map_batches(medium.where(~shared).select("media_sha256", "digests", F.col("own").alias("data")), rebuilt, READ_SQL)
+    place = lambda df, *data: df.select("media_sha256", F.posexplode(F.arrays_zip("digests", *data)).alias("place", "x")).select("media_sha256", "place", F.col("x.digests").alias("digest"), *(F.col(f"x.{c}").alias("data") for c in data))
+    mixed = place(medium.where(shared & own), "own")
+    copies = place(medium.where(~own).select("media_sha256", "digests").dropDuplicates(["media_sha256"]))
+    lacking = mixed.where("data is null").drop("data").unionByName(copies).join(stores["chunk"], "digest", "left").select(mixed.columns)
+    lists = mixed.where("data is not null").unionByName(lacking).groupBy("media_sha256").agg(F.sort_array(F.collect_list(F.struct("place", "digest", "data"))).alias("x"))
+    return alone.unionByName(map_batches(lists.select("media_sha256", F.col("x.digest").alias("digests"), F.col("x.data").alias("data")), rebuilt, READ_SQL))
 
 
 def media_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Stores the payload of every row, reads it back and gives each row what was read."""
     stores = store_media(docs, id_col, text_col)
-    read = stored(read_media(stores).dropDuplicates(["media_sha256"]), "media-read")
+    read = stored(read_media(stores), "media-read")
     lost = F.raise_error(F.concat(F.lit("a medium cannot be rebuilt: "), F.col("media_sha256"))).cast("long")
     joined = stores["manifest"].select("doc_id", "n_bytes", "media_sha256").join(read, "media_sha256", "left")
     return joined.withColumn("payload_bytes", F.coalesce("payload_bytes", lost))
