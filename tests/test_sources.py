@@ -2,17 +2,20 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.ticks import ns
 from tickloom.cli import main
+from tickloom.functions.numbers import as_double, as_long
 from tickloom.plans import stages
 from tickloom.sources import download, parquet
 from tickloom.sources.flatfile import inflate, read_flatfile, trim_padding
 from tickloom.sources.layout import Layout, parse_dates, weekdays
-from tickloom.sources.manifest import with_partition
+from tickloom.sources.manifest import ticker_bucket, with_partition
 from tickloom.sources.schemas import FEED_COLUMNS, kept
 
 TRADES, QUOTES = list(FEED_COLUMNS["trades_v1"]), list(FEED_COLUMNS["quotes_v1"])
+BUCKETS = [2, 82, 96, 58]
 START = ns("2026-08-03 09:30:00")
 
 
@@ -104,8 +107,10 @@ def test_command_line_end_to_end(spark, tmp_path):
     before = parquet.read_day(spark, layout.parquet_dir("trades_v1", "2026-08-03"), "2026-08-03")
     assert before.count() == 60 and before.select("row_id").distinct().count() == 60
     assert main(run) == 0  # nothing is left to do
-    last = [json.loads(x) for x in (tmp_path / "log/snapshot.jsonl").read_text().splitlines()][-1]
-    assert last["units"] == 0
+    lines = [json.loads(x) for x in (tmp_path / "log/snapshot.jsonl").read_text().splitlines()]
+    assert lines[-1]["units"] == 0
+    units = [x for x in lines if "partition" in x]
+    assert sum(x["rows"].get("1Hz", 0) for x in units if x["date"] == "2026-08-04") == rows.count() and all(x["seconds_of_group"] >= 0 for x in units)
     assert main(["-q", "snapshot", *base, "--freq-hz", "1,0.25", "--log-file", str(tmp_path / "log/s.jsonl")]) == 0
     assert spark.read.parquet(layout.snapshot_dir(0.25, "2026-08-03")).count() > 0
 
@@ -131,37 +136,97 @@ def test_dates_and_partitions(spark):
     assert got["A"] == 42 and 0 <= got["B"] < 10
 
 
-class FakeStore:
-    """The calls of an S3 client that are used."""
-
-    def __init__(self, objects, fail=0):
-        self.objects, self.fail = objects, fail
-
-    def get_paginator(self, _):
-        return self
-
-    def paginate(self, Bucket, Prefix):  # noqa: N803
-        yield {"Contents": [{"Key": k, "Size": len(v)} for k, v in self.objects.items() if k.startswith(Prefix)]}
-
-    def download_file(self, bucket, key, path, Callback):  # noqa: N803
-        with open(path, "wb") as f:
-            f.write(self.objects[key][: 1 if self.fail else None])
-        Callback(1)
-        if self.fail:
-            self.fail -= 1
+def test_a_unit_at_fault_is_left_out_alone(spark, tmp_path):
+    """A number that cannot be read in one partition of a day of an older archive, whose numbers are strings."""
+    day, tickers = "2026-08-03", {0: "A", 1: "B", 2: "C", 3: "D"}
+    quotes = [(t, str(START + k), k, "10.5", "1", "10.4", "1" if (p, k) != (2, 3) else "one", p) for p, t in tickers.items() for k in range(5)]
+    trades = [(t, START + k, k, None, 10.0, 5.0, p) for p, t in tickers.items() for k in range(5)]
+    layout = Layout(str(tmp_path))
+    for feed, rows, schema in (("quotes_v1", quotes, "ticker string, sip_timestamp string, sequence_number long, ask_price string, ask_size string, bid_price string, bid_size string, partition int"), ("trades_v1", trades, "ticker string, sip_timestamp long, sequence_number long, conditions string, price double, size double, partition int")):
+        spark.createDataFrame(rows, schema).write.partitionBy("partition").parquet(layout.parquet_dir(feed, day))
+    assert stages.snapshot(spark, layout, [day], [1.0, 0.5], log_file=str(tmp_path / "s.jsonl")) == 1
+    assert {r["partition"] for r in spark.read.parquet(layout.snapshot_dir(0.5, day)).collect()} == {0, 1, 3}
+    last = [json.loads(x) for x in (tmp_path / "s.jsonl").read_text().splitlines()][-1]
+    assert list(last["failed"]) == ["2"] and "bid_size" in last["failed"]["2"] and last["units"] == 3
+
+
+def test_a_padded_and_a_corrupt_file_in_one_run(spark, tmp_path):
+    days = ["2026-08-03", "2026-08-04", "2026-08-05"]
+    layout = make_days(tmp_path, days)
+    at = lambda d: tmp_path / f"flatfiles/us_stocks_sip/trades_v1/{d[:4]}/{d[5:7]}/{d}.csv.gz"
+    at(days[0]).write_bytes(at(days[0]).read_bytes() + bytes(512))
+    at(days[1]).write_bytes(at(days[1]).read_bytes()[:-30])
+    assert stages.convert(spark, layout, days, ["trades_v1"], 3, log_file=str(tmp_path / "c.jsonl"), require_all=False) == 1
+    assert [parquet.is_complete(spark, layout.parquet_dir("trades_v1", d)) for d in days] == [True, False, True]
+    assert not [x for x in tmp_path.rglob("*.part*") if x.name.endswith(".part")]
+    assert {x["date"]: "error" in x for x in map(json.loads, (tmp_path / "c.jsonl").read_text().splitlines())} == {days[0]: False, days[1]: True, days[2]: False}
+
+
+def test_buckets_of_tickers_stay_what_they_are(spark):
+    """An archive is only read right while these values hold."""
+    found = spark.createDataFrame([("A",), ("SPY",), ("NA",), ("BRK.B",)], "t string").select(ticker_bucket(F.col("t"), 100)).collect()
+    assert [r[0] for r in found] == BUCKETS
+
+
+def test_numbers_in_odd_spellings(spark):
+    df = spark.createDataFrame([(" 1_000 ", "12"), ("+1e3", "-7"), ("inf", "1_2"), ("nan", " 5")], "x string, n string")
+    assert [r[0] for r in df.select(as_double(df, "x")).collect()] == [1000.0, 1000.0, float("inf"), None]
+    assert [r[0] for r in df.select(as_long(df, "n")).collect()] == [12, -7, 12, 5]
+    for bad in ("1__0", "_1", "1.5", "", None):
+        with pytest.raises(Exception, match="whole number"):
+            odd = spark.createDataFrame([(bad,)], "n string")
+            odd.select(as_long(odd, "n")).collect()
+
+
+def remote(root, files):
+    for name, data in files.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(data)
+    return download.Store(str(root))
+
+
+def test_download_takes_what_is_not_here_in_the_same_size(spark, tmp_path):
+    store = remote(tmp_path / "far", {f"{f}/2026/08/2026-08-0{d}.csv.gz": bytes(d * 10) for f in ("trades_v1", "quotes_v1") for d in (3, 4, 5)} | {"trades_v1/2026/08/2026-08-06.csv.gz.tmp": b""})
+    said, days, target = [], ["2026-08-03", "2026-08-04", "2026-08-06"], str(tmp_path / "here")
+    remote(tmp_path / "here", {"trades_v1/2026/08/2026-08-03.csv.gz": bytes(30), "trades_v1/2026/08/2026-08-04.csv.gz": b"other"})
+    assert download.download(spark, store, target, ["trades_v1", "quotes_v1"], days, dry_run=True, log=said.append) == 0
+    assert len(said) == 4 and "2026-08-06" in said[0]
+    assert download.download(spark, store, target, ["trades_v1", "quotes_v1"], days, workers=2, log=said.append) == 0
+    here = {str(f.relative_to(target)): f.stat().st_size for f in (tmp_path / "here").rglob("*") if f.is_file() and not f.name.endswith(".crc")}
+    assert here == {f"{f}/2026/08/2026-08-0{d}.csv.gz": 10 * d for f in ("trades_v1", "quotes_v1") for d in (3, 4)}
+    assert sum(x.startswith("fetched") for x in said) == 3
+    assert main(["-q", "download", "--root", str(tmp_path / "cli"), "--dates", "2026-08-05", "--remote", str(tmp_path / "far")]) == 0
+    assert (tmp_path / "cli/flatfiles/us_stocks_sip/quotes_v1/2026/08/2026-08-05.csv.gz").stat().st_size == 50
+
+
+def test_a_file_that_changes_fails_alone_and_leaves_nothing(spark, tmp_path):
+    store = remote(tmp_path / "far", {f"trades_v1/2026/08/2026-08-0{d}.csv.gz": bytes(10) for d in (3, 4)})
+    wanted = spark.createDataFrame([("trades_v1", "2026-08-03", 10), ("trades_v1", "2026-08-04", 11), ("trades_v1", "2026-08-05", 1)], "feed string, date string, size long")
+    found = {r["date"]: r["error"] for r in download.fetched(wanted, store, str(tmp_path / "here"), [0.0]).collect()}
+    assert found["2026-08-03"] is None and "10 bytes in place of 11" in found["2026-08-04"] and found["2026-08-05"]
+    assert [f.name for f in (tmp_path / "here").rglob("*") if f.is_file()] == ["2026-08-03.csv.gz"]
+
+
+def test_retries_and_keys(monkeypatch):
+    tries, slept = [], []
+
+    def work():
+        tries.append(1)
+        if len(tries) < 3:
             raise OSError("lost")
 
-
-def test_download_lists_resumes_and_retries(tmp_path):
-    key = "us_stocks_sip/trades_v1/2026/08/2026-08-03.csv.gz"
-    store = FakeStore({key: b"abc", key.replace("03.csv", "04.csv"): b"abcd", key + ".tmp": b""}, fail=1)
-    layout, seen, pauses = Layout(str(tmp_path)), [], []
-    files = download.list_remote(store, "b", "us_stocks_sip", ["trades_v1"], ["2026-08-03"])
-    assert [f.key for f in files] == [key]
-    download.fetch_with_retries(store, "b", files[0], layout.flat_file("trades_v1", "2026-08-03"), 2, 1.0, seen.append, pauses.append)
-    assert seen == [1, -1, 1] and pauses == [1.0] and download.missing_files(files, layout) == []
-    assert download.download(layout, ["2026-08-03", "2026-08-04"], ["trades_v1"], store, "b", log=lambda t: None) == 0
-    store.fail = 99
-    store.objects[key] = b"longer"
-    assert download.download(layout, ["2026-08-03"], ["trades_v1"], store, "b", retries=1, delay=0, log=lambda t: None) == 1
-    assert not list(tmp_path.rglob("*.part"))
+    assert download.persist(work, download.pauses_of(3, 10.0), slept.append) is None and slept == [10.0, 20.0]
+    tries.clear()
+    assert "lost" in download.persist(work, [], slept.append)
+    with pytest.raises(ValueError):
+        download.pauses_of(-1, 1.0)
+    monkeypatch.delenv("AWS_SECRET_ACCESS_KEY", raising=False)
+    monkeypatch.setenv("AWS_ACCESS_KEY_ID", "a")
+    with pytest.raises(ValueError, match="SECRET"):
+        download.keys_of_environment()
+    assert main(["download", "--dates", "2026-08-03"]) == 2
+    monkeypatch.setenv("AWS_SECRET_ACCESS_KEY", "b")
+    assert download.keys_of_environment() == ("a", "b")
+    monkeypatch.delenv("AWS_ACCESS_KEY_ID")
+    monkeypatch.delenv("AWS_SECRET_ACCESS_KEY")
+    assert download.keys_of_environment() is None

@@ -71,9 +71,9 @@ def slow_snapshots(quotes, trades, freq: float, rules: TradeRules):
         for x in sorted(t, key=lambda x: x["row_id"]):
             codes = {1} if x["conditions"] is None else {int(c) for c in x["conditions"].split(",")}
             sized = x["size"] is not None and x["size"] >= 1
-            x["hl"] = codes <= rules.high_low and 35 not in codes and sized
-            x["oc"] = codes <= rules.open_close and 35 not in codes and sized
-            x["vo"], x["ft"] = codes <= rules.volume, 12 in codes
+            x["hl"] = codes <= set(rules.high_low) and 35 not in codes and sized
+            x["oc"] = codes <= set(rules.open_close) and 35 not in codes and sized
+            x["vo"], x["ft"] = codes <= set(rules.volume), 12 in codes
             if x["hl"] or x["oc"] or x["vo"]:
                 live.append(x)
         day = dt.datetime.fromtimestamp(live[0]["sip_timestamp"] // 10**9, dt.timezone.utc).date()
@@ -122,7 +122,7 @@ def slow_snapshots(quotes, trades, freq: float, rules: TradeRules):
             now = known.setdefault(ticker, {})
             now |= {c: x for c, x in cell.items() if c not in ("trades", "volume", "n") and x is not None}
             if "sip_timestamp_quote" in now and "sip_timestamp_trade" in now:
-                row = now | {"ticker": ticker, "ts_interval": end, "volume": cell.get("volume") or 0.0, "n": cell.get("n") or 0.0}
+                row = now | {"ticker": ticker, "ts_interval": end, "volume": cell["volume"] if "n" in cell else 0.0, "n": cell.get("n", 0.0)}
                 for s in lacks:
                     if lacks[s]:
                         row[f"sip_timestamp_{s}"] = int(float(row[f"sip_timestamp_{s}"]))

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from tickloom import __version__
 from tickloom.functions.intervals import parse_frequencies
-from tickloom.functions.rules import TradeRules
+from tickloom.functions.rules import trade_rules
 from tickloom.plans import stages
 from tickloom.sources import download
 from tickloom.sources.layout import FEEDS, Layout, parse_dates
@@ -32,8 +32,9 @@ def parser() -> argparse.ArgumentParser:
         if name in ("download", "run"):
             c.add_argument("--endpoint-url")
             c.add_argument("--bucket", default="flatfiles")
-            c.add_argument("--profile")
+            c.add_argument("--remote", help="folder or URI of the remote files, in place of s3://BUCKET/PRODUCT")
             c.add_argument("--retries", type=int, default=3)
+            c.add_argument("--retry-delay", type=float, default=10.0, help="seconds before the first retry; each pause is twice the one before")
             c.add_argument("--workers", type=int, default=4)
         if name == "download":
             c.add_argument("--dry-run", action="store_true")
@@ -52,6 +53,8 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--overwrite", action="store_true")
         if name in ("convert", "snapshot"):
             c.add_argument("--log-file")
+        if name in ("convert", "snapshot", "run"):
+            c.add_argument("--days-at-once", type=int, default=4)
     return out
 
 
@@ -59,7 +62,7 @@ def session() -> SparkSession:
     return SparkSession.builder.appName("tickloom").config("spark.sql.session.timeZone", "UTC").config("spark.sql.sources.partitionOverwriteMode", "dynamic").getOrCreate()
 
 
-def main(argv: list[str] | None = None, client=None) -> int:
+def main(argv: list[str] | None = None) -> int:
     try:
         a = parser().parse_args(argv)
     except SystemExit as e:
@@ -68,8 +71,11 @@ def main(argv: list[str] | None = None, client=None) -> int:
         layout = Layout(a.root, a.product, a.flatfiles, a.parquet, a.snapshots)
         dates = parse_dates(a.dates, a.start, a.end)
         freqs = parse_frequencies(a.freq_hz) if hasattr(a, "freq_hz") else []
-        rules = TradeRules.load(a.conditions) if hasattr(a, "conditions") else None
+        rules = trade_rules(a.conditions) if hasattr(a, "conditions") else None
         feeds = [f for f in getattr(a, "feeds", ",".join(FEEDS)).split(",") if f]
+        if hasattr(a, "remote"):
+            store = download.Store(a.remote or f"s3://{a.bucket}/{a.product}", a.endpoint_url, download.keys_of_environment())
+            download.pauses_of(a.retries, a.retry_delay)
         if unknown := [f for f in feeds if f not in FEEDS]:
             raise ValueError(f"unknown feeds: {unknown}")
     except (ValueError, OSError) as e:
@@ -80,14 +86,13 @@ def main(argv: list[str] | None = None, client=None) -> int:
     status = 0
     try:
         if a.command == "download" or a.command == "run" and not a.skip_download:
-            client = client or download.make_client(a.endpoint_url, a.profile, a.workers * 8 + 8)
-            status |= download.download(layout, dates, feeds, client, a.bucket, a.workers, a.retries, dry_run=getattr(a, "dry_run", False), log=log)
+            status |= download.download(session(), store, f"{layout.flat_root()}/{a.product}", feeds, dates, a.workers, a.retries, a.retry_delay, getattr(a, "dry_run", False), log)
         if a.command in ("convert", "run"):
             spark = session()
             mapping = spark.read.parquet(a.partition_map) if a.partition_map else None
-            status |= stages.convert(spark, layout, dates, feeds, a.n_partitions, mapping, logs["convert"], not a.allow_empty_partitions)
+            status |= stages.convert(spark, layout, dates, feeds, a.n_partitions, mapping, logs["convert"], not a.allow_empty_partitions, a.days_at_once)
         if a.command in ("snapshot", "run"):
-            status |= stages.snapshot(session(), layout, dates, freqs, rules, a.overwrite, logs["snapshot"])
+            status |= stages.snapshot(session(), layout, dates, freqs, rules, a.overwrite, logs["snapshot"], a.days_at_once)
     except KeyboardInterrupt:
         return 130
     return status

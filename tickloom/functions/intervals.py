@@ -42,8 +42,9 @@ def interval_end(ts: Column, width: Column) -> Column:
 
 
 def session_open(ts: Column) -> Column:
-    """Nanoseconds of 09:30 New York time on the UTC date of ts, whatever the session's time zone."""
-    day = F.date_from_unix_date(F.floor(ts / F.lit(float(DAY_NS))).cast("int")).cast("timestamp_ntz")
+    """Nanoseconds of 09:30 New York time on the UTC date of ts, whatever the session's time zone. Days are counted in whole numbers: a double has no room for single nanoseconds."""
+    days = F.call_function("div", ts - F.pmod(ts, F.lit(DAY_NS)), F.lit(DAY_NS))
+    day = F.date_from_unix_date(days.cast("int")).cast("timestamp_ntz")
     utc = F.convert_timezone(F.lit("America/New_York"), F.lit("UTC"), day)
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc) * F.lit(1000) + F.lit(OPEN_NS)
 

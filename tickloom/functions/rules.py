@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,37 +16,38 @@ UPDATES_VOLUME = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 17, 18, 19, 20,
 REGULAR, FORM_T, STOCK_OPTION, EXEMPT = 1, 12, 35, 41
 
 
-@dataclass(frozen=True)
-class TradeRules:
-    """The code sets with Form T and exempt trades added: both to prices, the latter to volume."""
+#: The keys of a rule file, one for each aggregate.
+FILE_KEYS = {"high_low": "updates_high_low", "open_close": "updates_open_close", "volume": "updates_volume"}
+#: Codes that count for an aggregate beyond those that a rule file lists.
+EXTENDED = {"high_low": (FORM_T, EXEMPT), "open_close": (FORM_T, EXEMPT), "volume": (EXEMPT,)}
 
-    high_low: frozenset[int]
-    open_close: frozenset[int]
-    volume: frozenset[int]
 
-    @classmethod
-    def of(cls, high_low: list[int], open_close: list[int], volume: list[int]) -> TradeRules:
-        more = {FORM_T, EXEMPT}
-        return cls(frozenset(high_low) | more, frozenset(open_close) | more, frozenset(volume) | {EXEMPT})
+class TradeRules(NamedTuple):
+    """The sorted codes whose trades may update an aggregate."""
 
-    @classmethod
-    def load(cls, path: str | None = None) -> TradeRules:
-        """The packaged sets, or those of a JSON file with the same three keys."""
-        if path is None:
-            return cls.of(UPDATES_HIGH_LOW, UPDATES_OPEN_CLOSE, UPDATES_VOLUME)
+    high_low: tuple[int, ...]
+    open_close: tuple[int, ...]
+    volume: tuple[int, ...]
+
+
+def trade_rules(path: str | None = None) -> TradeRules:
+    """The packaged codes, or those of a JSON file, with what every set is extended by."""
+    listed = {"high_low": UPDATES_HIGH_LOW, "open_close": UPDATES_OPEN_CLOSE, "volume": UPDATES_VOLUME}
+    if path is not None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        names = ("updates_high_low", "updates_open_close", "updates_volume")
-        if lacking := [n for n in names if n not in spec]:
+        if lacking := sorted(set(FILE_KEYS.values()) - spec.keys()):
             raise ValueError(f"{path} lacks {', '.join(lacking)}")
-        return cls.of(*(spec[n] for n in names))
-
-    def flags(self, conditions: Column) -> Column:
-        """struct(high_low, open_close, volume, form_t): every code must be in the set of an aggregate."""
-        codes = parse_codes(conditions)
-        holds = lambda codes_set: F.forall(codes, lambda c: c.isin(sorted(codes_set)))
-        priced = ~F.array_contains(codes, STOCK_OPTION)
-        return F.struct((holds(self.high_low) & priced).alias("high_low"), (holds(self.open_close) & priced).alias("open_close"), holds(self.volume).alias("volume"), F.array_contains(codes, FORM_T).alias("form_t"))
+        listed = {name: spec[key] for name, key in FILE_KEYS.items()}
+    return TradeRules(**{name: tuple(sorted({*codes, *EXTENDED[name]})) for name, codes in listed.items()})
+
+
+def eligibility(conditions: Column, rules: TradeRules) -> Column:
+    """struct(high_low, open_close, volume, form_t): a trade updates an aggregate if all its codes may; a stock option trade gives no price."""
+    codes = parse_codes(conditions)
+    may = {name: F.size(F.array_except(codes, F.array(*map(F.lit, own)))) == 0 for name, own in rules._asdict().items()}
+    option = F.array_contains(codes, STOCK_OPTION)
+    return F.struct((may["high_low"] & ~option).alias("high_low"), (may["open_close"] & ~option).alias("open_close"), may["volume"].alias("volume"), F.array_contains(codes, FORM_T).alias("form_t"))
 
 
 def parse_codes(conditions: Column) -> Column:

@@ -10,6 +10,7 @@ from tickloom.functions.intervals import as_double_and_back
 from .quotes import KEY, VALUES
 
 FILLED = ["sip_timestamp_quote", *VALUES, "open", "high", "low", "close", "sip_timestamp_trade", "vwap_all", "vwap", "vwap_ol"]
+#: The columns of a snapshot, in their order.
 COLUMNS = ["ticker", "ts_interval", "sip_timestamp_quote", "ask_price", "ask_size", "bid_price", "bid_size", "open", "high", "low", "close", "volume", "n", "sip_timestamp_trade", "vwap_all", "vwap", "vwap_ol"]
 UNIT = ["freq", "date", "partition"]
 
@@ -32,7 +33,7 @@ def fill_forward(merged: DataFrame) -> DataFrame:
 
 
 def finish(filled: DataFrame) -> DataFrame:
-    """Rows from a ticker's first quote and first trade on; volume and n are 0 without a trade; timestamps lose what a double cannot hold where their unit lacks a side."""
+    """Rows from a ticker's first quote and first trade on; volume and n are 0 where there is no trade (a volume that is missing in spite of one stays missing); timestamps lose what a double cannot hold where their unit lacks a side."""
     started = filled.where(F.col("sip_timestamp_quote").isNotNull() & F.col("sip_timestamp_trade").isNotNull())
     rounded = {f"sip_timestamp_{s}": F.when(F.col(f"lacks_{s}"), as_double_and_back(F.col(f"sip_timestamp_{s}"))).otherwise(F.col(f"sip_timestamp_{s}")) for s in ("quote", "trade")}
-    return started.withColumns(rounded | {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("volume", "n")}).select(*UNIT, *COLUMNS)
+    return started.withColumns(rounded | {c: F.when(F.col("n").isNull(), F.lit(0.0)).otherwise(F.col(c)) for c in ("volume", "n")}).select(*UNIT, *COLUMNS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.intervals import in_session, interval_end, session_open
 from tickloom.functions.numbers import as_double, as_long, kahan, missing, ratio
-from tickloom.functions.rules import TradeRules
+from tickloom.functions.rules import TradeRules, eligibility
 
 from .quotes import KEY, order
 
@@ -17,7 +17,7 @@ SUMS = ["volume", "dollars_all", "weight", "dollars", "weight_odd", "dollars_odd
 
 def effective_trades(trades: DataFrame, rules: TradeRules) -> DataFrame:
     """Typed trades that may update any aggregate, with flags high_low, open_close, volume_ok and form_t."""
-    typed = trades.select("date", "partition", "ticker", rules.flags(F.col("conditions")).alias("f"), as_double(trades, "price"), as_double(trades, "size"), as_long(trades, "sip_timestamp"), as_long(trades, "sequence_number"), "row_id")
+    typed = trades.select("date", "partition", "ticker", eligibility(F.col("conditions"), rules).alias("f"), as_double(trades, "price"), as_double(trades, "size"), as_long(trades, "sip_timestamp"), as_long(trades, "sequence_number"), "row_id")
     sized = F.coalesce(F.col("size") >= 1, F.lit(False))
     flagged = typed.select("*", (F.col("f.high_low") & sized).alias("high_low"), (F.col("f.open_close") & sized).alias("open_close"), F.col("f.volume").alias("volume_ok"), F.col("f.form_t").alias("form_t")).drop("f")
     return flagged.where("high_low or open_close or volume_ok")
@@ -30,8 +30,11 @@ def unit_sessions(effective: DataFrame) -> DataFrame:
 
 
 def without_session_form_t(effective: DataFrame) -> DataFrame:
-    """A Form T trade in the regular session no longer counts for volume; it stays a trade."""
-    joined = effective.join(unit_sessions(effective), ["date", "partition"])
+    """A Form T trade in the regular session no longer counts for volume; it stays a trade.
+
+    The sessions are broadcast: one row of three numbers for each date and partition, whatever the number of trades.
+    """
+    joined = effective.join(F.broadcast(unit_sessions(effective)), ["date", "partition"])
     return joined.withColumn("volume_ok", F.col("volume_ok") & ~(F.col("form_t") & in_session(F.col("sip_timestamp"), F.col("opened")))).drop("opened")
 
 
@@ -51,9 +54,15 @@ def trade_terms(trades: DataFrame) -> DataFrame:
 
 
 def prepare_trades(trades: DataFrame, rules: TradeRules) -> DataFrame:
+    """Trades with their terms. Deal them out by date, partition and ticker (`by_ticker`) before they are multiplied by frequencies."""
     return trade_terms(without_session_form_t(effective_trades(trades, rules)))
 
 
+def by_ticker(prepared: DataFrame) -> DataFrame:
+    """One exchange that serves the groupings of all frequencies, as their keys contain its own: each trade travels once, not once for every frequency."""
+    return prepared.repartition("date", "partition", "ticker")
+
+
 def aggregate_trades(prepared: DataFrame) -> DataFrame:
     """One row for each KEY: first and last, extremes, count, and sums in trade order with Kahan's compensation.
 

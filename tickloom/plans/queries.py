@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.intervals import in_session, interval_end, session_open, width_ns
 from tickloom.functions.numbers import kahan
-from tickloom.functions.rules import FORM_T, STOCK_OPTION, TradeRules
+from tickloom.functions.rules import FORM_T, STOCK_OPTION, eligibility, trade_rules
 from tickloom.operators import merge, quotes, trades
 from tickloom.sources.layout import business_dates
 from tickloom.sources.manifest import pending_units, ticker_bucket, unit_status
@@ -43,7 +43,7 @@ def quote_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("date", "partition", "ticker", F.col("value").alias("ask_price"), F.col("k").alias("ask_size"), (F.col("value") * 0.5).alias("bid_price"), (F.col("k") % 7).alias("bid_size"), "sip_timestamp", F.col("event_id").alias("sequence_number"), F.col("event_id").alias("row_id"))
 
 
-RULES = TradeRules.load()
+RULES = trade_rules()
 
 
 def effective(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def interval_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def condition_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trade_ticks(spark, sf_dir).select(F.col("row_id").alias("event_id"), RULES.flags(F.col("conditions")).alias("f")).select("event_id", "f.*")
+    return trade_ticks(spark, sf_dir).select(F.col("row_id").alias("event_id"), eligibility(F.col("conditions"), RULES).alias("f")).select("event_id", "f.*")
 
 
 def effective_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +169,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found} | {"vwap_all": vwap("vwap_all"), "vwap_price": vwap("vwap"), "vwap_odd_lot": vwap("vwap_ol"), "pending_units": pending, "unit_status": status, "business_dates": dates, "ticker_bucket": bucket}
 
 
-def in_set(codes: frozenset[int]) -> str:
+def in_set(codes: tuple[int, ...]) -> str:
     return f"len(list_filter(codes, lambda c: c NOT IN ({', '.join(map(str, sorted(codes)))}))) = 0"
 
 
@@ -201,7 +201,7 @@ jo AS (SELECT * FROM qa FULL JOIN ta USING (freq, date, partition, ticker, ts_in
 un2 AS (SELECT *, bool_or(sip_timestamp_quote IS NULL) OVER u AS lacks_quote, bool_or(sip_timestamp_trade IS NULL) OVER u AS lacks_trade FROM jo WINDOW u AS (PARTITION BY freq, date, partition)),
 fi AS (SELECT freq, date, partition, ticker, ts_interval, lacks_quote, lacks_trade, volume, n, {fills} FROM un2 WINDOW w AS (PARTITION BY freq, date, partition, ticker ORDER BY ts_interval ROWS UNBOUNDED PRECEDING)),
 sn AS (SELECT * REPLACE (CASE WHEN lacks_quote THEN CAST(CAST(sip_timestamp_quote AS DOUBLE) AS BIGINT) ELSE sip_timestamp_quote END AS sip_timestamp_quote,
-                         CASE WHEN lacks_trade THEN CAST(CAST(sip_timestamp_trade AS DOUBLE) AS BIGINT) ELSE sip_timestamp_trade END AS sip_timestamp_trade, coalesce(volume, 0.0) AS volume, coalesce(n, 0.0) AS n)
+                         CASE WHEN lacks_trade THEN CAST(CAST(sip_timestamp_trade AS DOUBLE) AS BIGINT) ELSE sip_timestamp_trade END AS sip_timestamp_trade, CASE WHEN n IS NULL THEN 0.0 ELSE volume END AS volume, coalesce(n, 0.0) AS n)
        FROM fi WHERE sip_timestamp_quote IS NOT NULL AND sip_timestamp_trade IS NOT NULL)
 """
 

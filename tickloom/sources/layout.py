@@ -49,12 +49,13 @@ def weekdays(start: str, end: str | None = None) -> list[str]:
 
 
 def parse_dates(dates: str | None = None, start: str | None = None, end: str | None = None) -> list[str]:
-    """A comma list (each once, in order) or a range."""
-    if dates:
-        return sorted({dt.date.fromisoformat(d.strip()).isoformat() for d in dates.split(",") if d.strip()})
-    if start:
+    """The days of a run: those of a comma list, each once and in order, or the weekdays of a range."""
+    if not dates:
+        if not start:
+            raise ValueError("give dates or a start")
         return weekdays(start, end)
-    raise ValueError("give dates or a start")
+    days = {dt.datetime.strptime(part, "%Y-%m-%d").date() for part in dates.replace(",", " ").split()}
+    return [day.isoformat() for day in sorted(days)]
 
 
 def business_dates(df: DataFrame, first: str, last: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,24 +15,34 @@ from .manifest import with_partition
 def write_partitioned(ticks: DataFrame, path: str, n_partitions: int, mapping: DataFrame | None = None, require_all: bool = True) -> int:
     """One file for each partition, rows in file order; how many rows there are.
 
-    Nothing is left behind on failure: no rows, and (with require_all) a partition without rows, are errors that are found
-    before the commit is visible as complete. Delta encoding (writer version 2, no dictionary for numbers) suits the
+    Written under another name, checked there, and renamed: `path` comes to be whole or not at all. No rows, and (with
+    require_all) a partition without rows, are errors. Delta encoding (writer version 2, no dictionary for numbers) suits the
     nearly sorted time and sequence columns.
     """
-    spark = ticks.sparkSession
+    spark, partial = ticks.sparkSession, f"{path}.{uuid.uuid4().hex}.part"
     dealt = with_partition(ticks, n_partitions, mapping).repartition(n_partitions, "partition").sortWithinPartitions("partition", "row_id")
-    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd").option("parquet.writer.version", "v2")
+    writer = dealt.write.option("compression", "zstd").option("parquet.writer.version", "v2")
     for c in ("sip_timestamp", "sequence_number", "row_id"):
         writer = writer.option(f"parquet.enable.dictionary#{c}", "false")
-    writer.partitionBy("partition").parquet(path)
-    counts = {r["partition"]: r["n"] for r in spark.read.parquet(path).groupBy("partition").agg(F.count("*").alias("n")).collect()}
-    empty = [p for p in range(n_partitions) if p not in counts]
-    if not counts or (require_all and empty):
+    try:
+        writer.partitionBy("partition").parquet(partial)
+        counts = {r["partition"]: r["n"] for r in spark.read.parquet(partial).groupBy("partition").agg(F.count("*").alias("n")).collect()}
+        empty = [p for p in range(n_partitions) if p not in counts]
+        if not counts or (require_all and empty):
+            raise RuntimeError(f"{path}: no rows" if not counts else f"{path}: {len(empty)} of {n_partitions} partitions have no rows")
         delete(spark, path)
-        raise RuntimeError(f"{path}: no rows" if not counts else f"{path}: {len(empty)} of {n_partitions} partitions have no rows")
+        rename(spark, partial, path)
+    finally:
+        delete(spark, partial)
     return sum(counts.values())
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    if not name(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(name(path), name(to)):
+        raise OSError(f"{path} cannot be renamed to {to}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
