@@ -1,6 +1,6 @@
 """Which keys of a DataFrame a later scan has to look at, told to it in one of two ways.
 
-Up to `LIMIT_BITS / BITS_A_KEY` keys: a bitmap of `BITS_A_KEY` bits or more for each key is broadcast. It may let a key pass
+Up to `LIMIT_BITS / BITS_A_KEY` keys a bitmap is broadcast, of `WANTED` bits for each key or as many as the limit leaves. It may let a key pass
 that is not there, never the reverse. Beyond that nothing is broadcast: the keys stay a DataFrame, and whoever scans meets them by a join.
 """
 
@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits for a key, and of the largest bitmap that is broadcast (8 MB).
-BITS_A_KEY, LIMIT_BITS = 8, 1 << 26
+#: Bits for a key that a bitmap should have and must have, and bits of the largest one that is broadcast (8 MB).
+WANTED, BITS_A_KEY, LIMIT_BITS = 128, 8, 1 << 26
 #: Words of a bitmap that travel to the driver as one row.
 SEGMENT = 4096
 
@@ -43,9 +43,9 @@ class Listed:
         return self.keys[np.minimum(at, len(self.keys) - 1)] == keys.view(np.uint64)
 
 
-def bits_for(n: int) -> int:
+def bits_for(n: int, each: int) -> int:
     """Bits of the bitmap of n keys: a power of two."""
-    return max(32 * SEGMENT, 1 << max(0, n * BITS_A_KEY - 1).bit_length())
+    return max(32 * SEGMENT, 1 << max(0, n * each - 1).bit_length())
 
 
 def bitmap_of(keys: DataFrame, n: int, always: bool = False) -> Bitmap | None:
@@ -53,9 +53,9 @@ def bitmap_of(keys: DataFrame, n: int, always: bool = False) -> Bitmap | None:
 
     Words are combined by Spark; LIMIT_BITS / 32 / SEGMENT rows of 16 KB at most reach the driver.
     """
-    bits = min(bits_for(n), LIMIT_BITS) if always else bits_for(n)
-    if bits > LIMIT_BITS:
+    if bits_for(n, BITS_A_KEY) > LIMIT_BITS and not always:
         return None
+    bits = min(bits_for(n, WANTED), max(LIMIT_BITS, 32 * SEGMENT))
     at = F.col("key").bitwiseAND(F.lit(bits - 1))
     words = keys.where("key is not null").select(F.shiftright(at, 5).alias("word"), at.bitwiseAND(F.lit(31)).cast("int").alias("k")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("b"))
 
