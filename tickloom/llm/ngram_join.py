@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from . import kernels as K
 from .components import components
-from .key_filter import bitmap_of
+from .key_filter import Bitmap, bitmap_of
 from .spark_io import discard, ids_and_texts, map_batches, stored
 
 #: Two sets link from this many hundredths on.
@@ -124,7 +124,9 @@ def frequency_order(sets: DataFrame, least: int) -> DataFrame:
     each = sets.select("node", "n", F.explode("tokens").alias("token"))
     often = stored(each.groupBy("token").agg(F.count("*").alias("f")).where("f > 1"), "ngram-frequency")
     lists = each.join(often, "token").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "token"))).alias("all"))
-    return stored(lists.where(F.size("all") >= least_overlap_column(F.col("n"), least)).select("node", "n", F.col("all.token").alias("tokens"), F.col("all.f").alias("ranks")), "ngram-ordered")
+    ordered = stored(lists.where(F.size("all") >= least_overlap_column(F.col("n"), least)).select("node", "n", F.col("all.token").alias("tokens"), F.col("all.f").alias("ranks")), "ngram-ordered")
+    discard(often)
+    return ordered
 
 
 def least_overlap_column(n: Column, least: int) -> Column:
@@ -143,7 +145,9 @@ def clusters(ordered: DataFrame, least: int) -> DataFrame:
     early = lambda need: ordered.select("node", F.explode(F.slice("tokens", F.lit(1), F.greatest(F.lit(0), size - need + 1).cast("int"))).alias("token"))
     hubs = stored(early(of_equals).groupBy("token").agg(F.min("node").alias("hub")), "ngram-hubs")
     edges = early(least_overlap_column(n, least)).join(hubs, "token").select(F.col("node").alias("u"), F.col("hub").alias("v")).where("u <> v").distinct()
-    return components(edges).select("node", F.col("root").alias("cluster"))
+    placed = components(edges).select("node", F.col("root").alias("cluster"))
+    discard(hubs)
+    return placed
 
 
 class PrefixTree:
@@ -243,7 +247,9 @@ def components_of_rows(rows: DataFrame, size: int = 5, least: int = LEAST, extra
     linked = labels.join(named, "node")
     least_id = linked.groupBy("root").agg(F.min("rep").alias("component"))
     component = stored(linked.join(least_id, "root").select("node", "component", "root"), "ngram-components")
+    discard(labels)
     copies = stored(named.join(component, "node", "left").select("node", F.coalesce("component", "rep").alias("component"), F.coalesce("root", "node").alias("root")), "ngram-named")
+    discard(component)
     return listed, copies
 
 
@@ -257,42 +263,51 @@ def link_nodes(rows: DataFrame, listed: DataFrame, size: int, least: int, extra:
     alive = stored(nodes.join(counts, "node").where(F.col("hits") >= F.col("copies") * need).select("node", "rep"), "ngram-alive")
     sets = full_sets(rows, alive, size)
     ordered = frequency_order(sets, least)
-    discard(sets, repeated)
+    discard(sets, repeated, alive)
     placed = stored(clusters(ordered, least), "ngram-clusters")
     sizes = stored(placed.groupBy("cluster").agg(F.count("*").alias("members")).withColumn("blocks", F.ceil(F.col("members") / F.lit(BLOCK))), "ngram-sizes")
     block = F.pmod(F.xxhash64("node", "cluster"), F.col("blocks"))
     members = stored(placed.join(sizes, "cluster").select("node", "cluster", "blocks", block.alias("block")).join(ordered, "node"), "ngram-members")
-    discard(ordered)
+    discard(ordered, placed, sizes)
 
     zero, hub = F.array(F.lit(0).cast("long")), (F.col("blocks") > 1) & (F.col("block") == 0)
     dealt = members.withColumn("task", F.explode(F.when(hub, F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.col("block")))))
     dealt = dealt.withColumns({"role": F.lit(0), "label": F.col("node")}).repartition("cluster", "task")
     edges = stored(dealt.groupBy("cluster", "task").applyInArrow(tree_task(least), "u long, v long"), "ngram-edges")
     roots = stored(components(edges), "ngram-roots")
+    discard(edges)
 
     # large clusters: who is outside the main component is held against all
-    large = members.where("blocks > 1").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-    large = stored(large, "ngram-large")
-    main = stored(large.groupBy("cluster", "label").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("label", "c").alias("main")), "ngram-main")
-    large = large.join(main, "cluster")
+    labelled = stored(members.where("blocks > 1").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"), "ngram-large")
+    discard(members)
+    main = stored(labelled.groupBy("cluster", "label").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("label", "c").alias("main")), "ngram-main")
+    large = labelled.join(main, "cluster")
     outside = large.where("label <> main")
     ask_blocks = F.ceil(F.count("*") / F.lit(BLOCK))
     asked = stored(outside.groupBy("cluster").agg(ask_blocks.alias("ask_blocks")), "ngram-asked")
     if asked.isEmpty():
+        discard(labelled, main, asked)
         return roots
     ask = outside.join(asked, "cluster").withColumn("i", F.pmod(F.xxhash64("node", "label"), F.col("ask_blocks"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("role", F.lit(1))
     given = large.join(asked, "cluster").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ask_blocks") - 1))).withColumn("j", F.col("block")).withColumn("role", F.lit(2))
     columns = ["cluster", "i", "j", "node", "n", "tokens", "ranks", "role", "label"]
     both = ask.select(columns).unionByName(given.select(columns)).repartition("cluster", "i", "j")
     more = stored(both.groupBy("cluster", "i", "j").applyInArrow(tree_task(least), "u long, v long"), "ngram-more")
-    return roots if more.isEmpty() else stored(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)), "ngram-roots")
+    discard(labelled, main, asked)
+    if more.isEmpty():
+        discard(more)
+        return roots
+    joined = stored(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)), "ngram-roots")
+    discard(roots, more)
+    return joined
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component of docs, all columns as they are: that of the least id, of equal ids that of the least set.
 
     Rows go by id and text, so a repeated id takes no other text of its with it. A row without an id stays only if no row
-    of its component has one. Rows without words are kept, of those with equal id and text one.
+    of its component has one. Rows without words are kept, of those with equal id and text one. Only rows that may go, by a
+    bitmap of their nodes, are shuffled; where that would be too large, all are.
     """
     rows = ids_and_texts(docs, id_col, text_col)
     listed, copies = components_of_rows(rows)
@@ -300,19 +315,33 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node")).alias("first"), F.count("*").alias("c")).where("c > 1")
     other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node")))
     gone = stored(placed.join(first, "root").where(other).select(F.col("doc_id").alias("gone_id"), F.col("node").alias("gone_node")).distinct(), "ngram-gone")
-    marked = with_node(docs, id_col, text_col)
+    twice = listed.where("node is not null").groupBy("doc_id", "node").agg(F.count("*").alias("c")).where("c > 1")
+    doubtful = stored(gone.select(F.col("gone_node").alias("key")).unionByName(twice.select(F.col("node").alias("key"))).distinct(), "ngram-doubtful")
+    bitmap = bitmap_of(doubtful, doubtful.count())
+    discard(listed, copies, doubtful)
+    marked = with_node(docs, id_col, text_col, bitmap, True)
     kept = marked.join(gone, marked["id"].eqNullSafe(gone["gone_id"]) & (marked["node"] == gone["gone_node"]), "left_anti")
-    return kept.dropDuplicates(["id", "same"]).select("row.*")
+    kept = kept.dropDuplicates(["id", "same"]).select("row.*")
+    return kept.union(with_node(docs, id_col, text_col, bitmap, False).select("row.*")) if bitmap else kept
+
 
+def with_node(docs: DataFrame, id_col: str, text_col: str, bitmap: Bitmap | None, doubtful: bool, size: int = 5) -> DataFrame:
+    """row (all columns of docs), id, node (the fingerprint of the row's set, null for an empty one) and same (the node or, of an empty set, the text's hash).
 
-def with_node(docs: DataFrame, id_col: str, text_col: str, size: int = 5) -> DataFrame:
-    """row (all columns of docs), id, node (the fingerprint of the row's set, null for an empty one) and same (the node or, of an empty set, the text's hash)."""
+    With a bitmap, of the rows whose set is empty or has its node there (doubtful) or of all others.
+    """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("same"), text.alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         nodes = pa.concat_arrays([pa.array(node.view(np.int64), mask=n == 0) for _, _, n, _, _, node in sets_of(batch.column("text"), size)])
-        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), nodes, pc.coalesce(nodes, batch.column("same"))], ["row", "id", "node", "same"])
+        out = pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), nodes, pc.coalesce(nodes, batch.column("same"))], ["row", "id", "node", "same"])
+        if shared.value:
+            maybe = nodes.is_null().to_numpy(False) | shared.value.has(nodes.fill_null(0).to_numpy())
+            out = out.filter(pa.array(maybe == doubtful))
+        if out.num_rows:
+            yield out
 
     long = lambda name: T.StructField(name, T.LongType())
     return map_batches(rows, run, T.StructType([T.StructField("row", docs.schema), long("id"), long("node"), long("same")]))
