@@ -30,6 +30,7 @@ empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -259,8 +260,8 @@ def bucketed(texts: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
-    """texts (node, n_bytes, text) -> (node, n_bytes, first, end): byte ranges, overlapping ones too, that repeated strings cover."""
+def repeated_spans(texts: DataFrame) -> list[DataFrame]:
+    """texts (node, n_bytes, text) -> stored tables of (node, n_bytes, first, end): byte ranges, overlapping ones too, that repeated strings cover."""
     found, levels = [], []
 
     def done(level: Told) -> None:
@@ -282,7 +283,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         rows = stored(round_rows(texts, levels), f"rows-{size}")
         if size == 1:
             keys = ["core", "check"]
-            found.append(settled(rows, repeats(rows, keys, "cores-1"), keys, "spans-1"))
+            cores = repeats(rows, keys, "cores-1")
+            found.append(settled(rows, cores, keys, "spans-1"))
+            discard(cores)
         else:
             cores, some = repeats(rows, ["core"], f"cores-{size}"), rows.where("cover <> 0")
             covers = repeats(some, ["cover", "check"], f"covers-{size}", all_keys=True)
@@ -290,10 +293,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
             done(tell(rows, cores, covers))
             discard(covers, cores)
         discard(rows)
-    out = found[0]
-    for df in found[1:]:
-        out = out.unionByName(df)
-    return out
+    return found
 
 
 def merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -325,9 +325,12 @@ def named_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"node": F.xxhash64("text"), "n_bytes": F.octet_length("text")})
 
 
-def span_lists(spans: DataFrame) -> DataFrame:
-    """The different ranges of each text, however many copies it has; no more than the text has bytes."""
-    return stored(spans.groupBy(*TEXT).agg(F.collect_set(F.struct("first", "end")).alias("all")), "span-lists")
+def span_lists(found: list[DataFrame], *more: DataFrame) -> DataFrame:
+    """The different ranges of each text, however many copies it has; no more than the text has bytes. What is in found is deleted."""
+    spans = functools.reduce(DataFrame.unionByName, [*found, *more])
+    lists = stored(spans.groupBy(*TEXT).agg(F.collect_set(F.struct("first", "end")).alias("all")), "span-lists")
+    discard(*found)
+    return lists
 
 
 def cut_texts(rows: DataFrame, lists: DataFrame) -> DataFrame:
@@ -371,6 +374,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut = stored(map_batches(cut_texts(rows, lists), digest, "node long, n_bytes int, n_removed long, n_spans long, kept_sha256 string"), "cut-texts")
     copies = known_rows.groupBy(*TEXT).agg(F.count("*").alias("copies")).where(f"copies > 1 and n_bytes >= {WIDTH}").select(*TEXT, F.lit(True).alias("copied"))
     known = stored(copies.join(cut, TEXT, "full"), "known-texts")
+    discard(cut, lists)
     n_bytes = F.col("n_bytes").cast("long")
     return known_rows.join(known, TEXT, "left").select("doc_id", n_bytes.alias("n_bytes"), *(whole(a, b, c) for a, b, c in (("n_removed", n_bytes, F.lit(0).cast("long")), ("n_spans", F.lit(1).cast("long"), F.lit(0).cast("long")), ("kept_sha256", F.lit(hashlib.sha256(b"").hexdigest()), F.col("sha256")))))
 
@@ -383,13 +387,15 @@ def whole(name: str, if_copied: Column, if_not: Column) -> Column:
 def keep_unrepeated(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """docs with the repeated strings taken out of their texts; every row and column stays.
 
-    A range is narrowed to whole characters. `chars_col`, where docs has it, is counted anew.
+    A range is narrowed to whole characters. `chars_col`, where docs has it, is counted anew. Only rows that may lose
+    bytes, by a bitmap of their nodes, are shuffled; where that would be too large, all are.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(text).alias("node"), F.octet_length(text).alias("n_bytes"))
     texts = rows.select(*TEXT, F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")).alias("text"))
     copied = texts.groupBy(*TEXT).agg(F.count("*").alias("c")).where(f"c > 1 and n_bytes >= {WIDTH}").select(*TEXT, F.lit(0).alias("first"), F.col("n_bytes").alias("end"))
-    joined = rows.join(span_lists(repeated_spans(texts).unionByName(copied)), TEXT, "left").select("row", "all")
+    lists = span_lists(repeated_spans(texts), copied)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(lists.select(F.col("node").alias("key")), lists.count()))
     names, place = list(docs.columns), docs.columns.index(text_col)
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -405,7 +411,20 @@ def keep_unrepeated(docs: DataFrame, text_col: str = "text", chars_col: str | No
         columns[place] = pa.array(out, columns[place].type)
         yield pa.RecordBatch.from_arrays(columns, names)
 
+    def named(hit: bool) -> DataFrame:
+        """The rows whose text may have a list, or those whose text has none."""
+
+        def pick(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            some = batch.filter(pa.array(shared.value.has(batch.column("node").to_numpy()) == hit))
+            if some.num_rows:
+                yield some
+
+        return map_batches(rows, pick, rows.schema)
+
+    joined = (named(True) if shared.value else rows).join(lists, TEXT, "left").select("row", "all")
     done = map_batches(joined, cut, docs.schema)
+    if shared.value:
+        done = done.union(named(False).select("row.*"))
     if chars_col in docs.columns:
         kind = dict(docs.dtypes)[chars_col]
         done = done.withColumn(chars_col, F.when(F.col(text_col).isNotNull(), F.char_length(text_col).cast(kind)).otherwise(F.col(chars_col)))
