@@ -47,7 +47,7 @@ from .key_filter import Bitmap, Listed, bitmap_of
 from .spark_io import discard, map_batches, own_dir, stored
 
 #: Bytes of text ranked at once; a round holds some thirty numbers for each.
-RANKED = 1 << 20
+RANKED = 1 << 19
 #: Longer texts are ranked in slices of so many bytes.
 SLICE = 1 << 22
 BLOCKS = (32, 8, 1)
