@@ -74,6 +74,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+#: Rows of whole texts that Spark's Parquet reader decodes at once (4096 by default), and bytes that its writer buffers for each
+#: task (`parquet.block.size`, 128 MB by default): what they take of the heap is multiplied by the tasks that share it.
+READ_ROWS, ROW_GROUP = 256, 8 << 20
+
+
+def small_buffers(spark: SparkSession) -> None:
+    """Sets both for the session, each where it has its default; results stay as they are."""
+    for name, usual, value in (("spark.sql.parquet.columnarReaderBatchSize", "4096", READ_ROWS), ("parquet.block.size", None, ROW_GROUP)):
+        if spark.conf.get(name, usual) == usual and (usual or not spark.sparkContext._jsc.hadoopConfiguration().get(name)):
+            spark.conf.set(name, str(value))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow over one batch at a time; empty batches are skipped."""
 
